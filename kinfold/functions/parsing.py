@@ -12,53 +12,68 @@ FLAG_TEXT = "True"
 # End of fixed values.
 
 
+def _unquoted(token: Column) -> Column:
+    return F.substring(token, F.lit(2), F.length(token) - 2)
+
+
+def _as_list(values: Column) -> Column:
+    return F.coalesce(values, F.array().cast("array<string>"))
+
+
+def _quoted_tokens(col: Column) -> Column:
+    found = F.regexp_extract_all(col, F.lit(QUOTED_TOKEN), F.lit(0))
+    return _as_list(F.when(col.rlike(r"(?U)^\s*\["), found))
+
+
 def token_list(col: Column, is_array: bool = False) -> Column:
     """Tokens of an array column, or of its text form ``['a' 'b']``; never null."""
     if is_array:
-        return F.coalesce(F.filter(col, lambda x: x.isNotNull()), F.array().cast("array<string>"))
-    quoted = F.regexp_extract_all(col, F.lit(QUOTED_TOKEN), F.lit(0))
-    bare = F.transform(quoted, lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
-    return F.when(col.rlike(r"(?U)^\s*\["), bare).otherwise(F.array().cast("array<string>"))
+        return _as_list(F.filter(col, lambda x: x.isNotNull()))
+    return F.transform(_quoted_tokens(col), _unquoted)
 
 
-def kv_entries(tokens: Column) -> Column:
-    """``key:value`` tokens cut at the first colon; a bare flag has a null value."""
-
-    def entry(token: Column) -> Column:
-        parts = F.split(token, ":", 2)
-        return F.struct(parts[0].alias("k"), F.get(parts, 1).alias("v"))
+def _entry(token: Column) -> Column:
+    key = F.substring_index(token, ":", 1)
+    value = F.when(F.contains(token, F.lit(":")), F.substring(token, F.length(key) + 2, F.length(token)))
+    return F.struct(key.alias("k"), value.alias("v"))
 
-    return F.transform(tokens, entry)
 
-
-def _of_key(entries: Column, key: str) -> Column:
-    return F.filter(entries, lambda e: e["k"] == key)
+def kv_entries(col: Column, is_array: bool = False) -> Column:
+    """``key:value`` tokens cut at the first colon; a bare flag has a null value."""
+    if is_array:
+        return F.transform(token_list(col, True), _entry)
+    return F.transform(_quoted_tokens(col), lambda t: _entry(_unquoted(t)))
 
 
 def _text(entry: Column) -> Column:
     return F.coalesce(entry["v"], F.lit(FLAG_TEXT))
 
 
-def kv_first(entries: Column, key: str) -> Column:
-    """Value of the first token with this key."""
-    hit = F.get(_of_key(entries, key), 0)
-    return F.when(hit.isNotNull(), _text(hit))
+def _keyed(entries: Column, value) -> Column:
+    """Map from each key to a value made of its entries, in token order."""
+    keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
 
+    def of_key(key: Column) -> Column:
+        return value(F.filter(entries, lambda e: e["k"] == key))
 
-def kv_joined(entries: Column, key: str, sep: str = DUPLICATE_SEP) -> Column:
-    """Values of all tokens with this key in token order."""
-    hits = _of_key(entries, key)
-    return F.when(F.size(hits) > 0, F.array_join(F.transform(hits, _text), sep))
+    return F.map_from_arrays(keys, F.transform(keys, of_key))
 
 
-def kv_lone_flags(entries: Column, keys: list[str]) -> Column:
-    """Keys that occur exactly once and without a value: flags, not text."""
+def kv_first_map(entries: Column) -> Column:
+    """The first value of every key."""
+    return _keyed(entries, lambda hits: _text(hits[0]))
 
-    def lone(key: Column) -> Column:
-        hits = F.filter(entries, lambda e: e["k"] == key)
-        return (F.size(hits) == 1) & F.get(hits, 0)["v"].isNull()
 
-    return F.filter(F.array(*[F.lit(k) for k in keys]), lone)
+def kv_joined_map(entries: Column, sep: str = DUPLICATE_SEP) -> Column:
+    """All values of every key, joined."""
+    return _keyed(entries, lambda hits: F.array_join(F.transform(hits, _text), sep))
+
+
+def kv_lone_flags(entries: Column) -> Column:
+    """Keys that occur exactly once and without a value: flags, not text."""
+    keys = F.transform(entries, lambda e: e["k"])
+    bare = F.transform(F.filter(entries, lambda e: e["v"].isNull()), lambda e: e["k"])
+    return F.filter(bare, lambda k: F.size(F.filter(keys, lambda x: x == k)) == 1)
 
 
 def json_map(col: Column) -> Column:
@@ -76,4 +91,4 @@ def json_nested(fields: Column, key: str, inner: str) -> Column:
 
 def geoname_or_unknown(entries: Column) -> Column:
     """Geoname id of a token list, ``unknown`` when absent."""
-    return F.coalesce(kv_first(entries, "geoname_id"), F.lit("unknown"))
+    return F.coalesce(F.try_element_at(kv_first_map(entries), F.lit("geoname_id")), F.lit("unknown"))

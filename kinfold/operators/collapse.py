@@ -42,17 +42,17 @@ def site_tokens(flat: DataFrame, site_sets: Sequence[str] = DEFAULT_SCHEMA.site_
     A profile's tokens are spread over the shuffle, however many it has.
     """
 
-    def values(name: str):
+    def joined(name: str) -> Column:
         text = F.col(name)
         is_flag = F.array_contains("fs_lone_flags", name.removeprefix("fs_"))
-        usable = text.isNotNull() & (text != "") & ~is_flag
-        return F.when(usable, F.split(text, r"\|"))
+        entry = F.struct(F.lit(name).alias("set_col"), text.alias("text"))
+        return F.when(text.isNotNull() & (text != "") & ~is_flag, entry)
 
-    entries = [_tagged(c, values(c)) for c in site_sets]
+    entries = F.array_compact(F.array(*[joined(c) for c in site_sets]))
     return (
         flat.filter(F.col("profile_id").isNotNull())
-        .select("profile_id", F.explode(F.concat(*entries)).alias("_e"))
-        .select("profile_id", "_e.set_col", "_e.token")
+        .select("profile_id", F.explode(entries).alias("_e"))
+        .select("profile_id", "_e.set_col", F.explode(F.split("_e.text", r"\|")).alias("token"))
         .distinct()
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import AUTO_MERGE_THRESHOLD, REVIEW_THRESHOLD
 from ..session import cut_lineage
 from .blocking import attach_both
-from .skew import hot_keys, salted_join
+from .skew import lookup_join
 
 # Names of the three decisions.
 AUTO_MERGE = "AUTO_MERGE"
@@ -39,22 +39,17 @@ def _state(edges: DataFrame) -> tuple[int, int | None]:
     return row["n"], row["x"]
 
 
-def _with_smallest(edges: DataFrame, smallest: DataFrame, key: str, other: str, how: str) -> DataFrame:
-    counts = edges.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(counts, key, "_n")
-    return salted_join(edges, smallest, key, hot, F.col(other), how)
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     smallest = edges.groupBy("hi").agg(F.min("lo").alias("m")).withColumnRenamed("hi", "lo")
-    return _with_smallest(edges, smallest, "lo", "hi", "left").select("hi", F.coalesce("m", "lo").alias("lo"))
+    joined = lookup_join(edges, smallest, "lo", "hi", n, "left")
+    return joined.select("hi", F.coalesce("m", "lo").alias("lo"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     smallest = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    moved = _with_smallest(edges, smallest, "hi", "lo", "inner").filter("lo <> m")
+    moved = lookup_join(edges, smallest, "hi", "lo", n).filter("lo <> m")
     return moved.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).unionByName(
         smallest.select("hi", F.col("m").alias("lo"))
     )
@@ -74,7 +69,8 @@ def star_edges(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if state[0] == 0:
             return current
-        current = cut_lineage(_small_star(_large_star(current).distinct()).distinct())
+        n = state[0]
+        current = cut_lineage(_small_star(_large_star(current, n).distinct(), n).distinct())
         previous, state = state, _state(current)
         if state == previous:
             return current
@@ -102,8 +98,7 @@ def extend_components(clusters: DataFrame, new_edges: DataFrame, new_nodes: Data
     stars = star_edges(contracted)
     # A cluster may be large, so its members are spread while looking up the new id.
     moved = stars.select(F.col("hi").alias("cluster_id"), "lo")
-    hot = hot_keys(clusters.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("_n")), "cluster_id", "_n")
-    return salted_join(clusters, moved, "cluster_id", hot, F.col("profile_id"), "left").select(
+    return lookup_join(clusters, moved, "cluster_id", "profile_id", clusters.count(), "left").select(
         "profile_id", F.coalesce("lo", "cluster_id").alias("cluster_id")
     )
 

@@ -14,13 +14,13 @@ NESTED = ("non_processing_features", "realtime_features", "fs_features")
 
 def _entries(df: DataFrame, name: str):
     is_array = isinstance(df.schema[name].dataType, T.ArrayType)
-    return p.kv_entries(p.token_list(F.col(name), is_array))
+    return p.kv_entries(F.col(name), is_array)
 
 
 def flatten(df: DataFrame, schema: ProfileSchema = DEFAULT_SCHEMA) -> DataFrame:
     """np_ (first value wins), rt_ (JSON) and fs_ (values joined) columns.
 
-    ``fs_lone_flags`` lists the site-set keys that occur once without a value.
+    ``fs_lone_flags`` lists the fs keys that occur once and without a value.
     """
     np_source, rt_source, fs_source = NESTED
     set_keys = [c.removeprefix("fs_") for c in schema.site_sets]
@@ -30,19 +30,26 @@ def flatten(df: DataFrame, schema: ProfileSchema = DEFAULT_SCHEMA) -> DataFrame:
         p.json_map(F.col(rt_source)).alias("_rt"),
         _entries(df, fs_source).alias("_fs"),
     )
-    np, rt, fs = F.col("_np"), F.col("_rt"), F.col("_fs")
+    maps = parsed.withColumns(
+        {
+            "_np_map": p.kv_first_map(F.col("_np")),
+            "_fs_map": p.kv_joined_map(F.col("_fs")),
+            "fs_lone_flags": p.kv_lone_flags(F.col("_fs")),
+        }
+    )
+    np, rt, fs = F.col("_np_map"), F.col("_rt"), F.col("_fs_map")
     fs_keys = list(schema.fs_keys) + [k for k in set_keys if k not in schema.fs_keys]
-    return parsed.select(
+    return maps.select(
         *[c for c in parsed.columns if c not in ("_np", "_rt", "_fs")],
-        *[p.kv_first(np, k).alias(f"np_{k}") for k in schema.np_keys],
+        *[np[k].alias(f"np_{k}") for k in schema.np_keys],
         *[rt[k].alias(f"rt_{k}") for k in schema.rt_keys],
         *[
             p.json_nested(rt, k, inner).alias(f"rt_{k}.{inner}")
             for k, inners in schema.rt_nested
             for inner in inners
         ],
-        *[p.kv_joined(fs, k).alias(f"fs_{k}") for k in fs_keys],
-        p.kv_lone_flags(fs, set_keys).alias("fs_lone_flags"),
+        *[fs[k].alias(f"fs_{k}") for k in fs_keys],
+        "fs_lone_flags",
     )
 
 

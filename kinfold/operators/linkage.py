@@ -8,17 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .skew import hot_keys, salted_join
+from .skew import lookup_join
 
 MAX_ROUNDS = 1000
 
 
-def _relabel(edges: DataFrame, moves: DataFrame, side: str) -> DataFrame:
+def _relabel(edges: DataFrame, moves: DataFrame, side: str, n: int) -> DataFrame:
     """New cluster key and size for one end of every edge."""
     other = "b" if side == "a" else "a"
     moves = moves.select(F.col("old").alias(side), F.col("new").alias("_new"), F.col("size").alias("_size"))
-    hot = hot_keys(edges.groupBy(side).agg(F.count(F.lit(1)).alias("_n")), side, "_n")
-    out = salted_join(edges, moves, side, hot, F.col(other), "left")
+    out = lookup_join(edges, moves, side, other, n, "left")
     return out.withColumn(f"n{side}", F.coalesce("_size", f"n{side}")).withColumn(
         side, F.coalesce("_new", side)
     ).drop("_new", "_size")
@@ -55,6 +54,7 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     )
     edges = cut_lineage(edges)
     members = cut_lineage(nodes.select("node", F.col("node").alias("cluster")))
+    n_members = members.count()
     for _ in range(MAX_ROUNDS):
         close = edges.withColumn("s", F.col("w") / (F.col("na") * F.col("nb"))).filter("s > a.t")
         ends = close.select(
@@ -70,7 +70,8 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
         )
         if moves.isEmpty():
             break
-        moved = _relabel(_relabel(edges, moves, "a"), moves, "b").filter("a <> b")
+        n_edges = edges.count()
+        moved = _relabel(_relabel(edges, moves, "a", n_edges), moves, "b", n_edges).filter("a <> b")
         edges = cut_lineage(
             moved.select(
                 F.least("a", "b").alias("a"),
@@ -83,9 +84,8 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
             .agg(F.sum("w").alias("w"), F.max("na").alias("na"), F.max("nb").alias("nb"))
         )
         lookup = moves.select(F.col("old").alias("cluster"), "new")
-        hot = hot_keys(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n")), "cluster", "_n")
         members = cut_lineage(
-            salted_join(members, lookup, "cluster", hot, F.col("node"), "left").select(
+            lookup_join(members, lookup, "cluster", "node", n_members, "left").select(
                 "node", F.coalesce("new", "cluster").alias("cluster")
             )
         )

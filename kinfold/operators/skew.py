@@ -11,6 +11,8 @@ from ..session import cut_lineage
 
 HOT_SHARE = 1000
 SALTS = 32
+# Below this many rows a hot key is no burden and finding it costs more than it saves.
+SALT_FROM = 1_000_000
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -65,6 +67,16 @@ def salted_join(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
+def lookup_join(
+    big: DataFrame, lookup: DataFrame, key: str, spread_by: str, n_rows: int, how: str = "inner"
+) -> DataFrame:
+    """``salted_join`` when ``big`` has enough rows for a hot key to matter, else a plain one."""
+    if n_rows < SALT_FROM:
+        return big.join(lookup, key, how)
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return salted_join(big, lookup, key, hot_keys(counts, key, "_n"), F.col(spread_by), how)
+
+
 def range_split(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Cut ``df`` into sorted ranges of even size and number them in ``_part``.
 

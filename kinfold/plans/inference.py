@@ -18,7 +18,7 @@ from ..config import (
 )
 from ..operators import blocking, collapse, components, evaluate, features, model, splits
 from ..operators.flatten import flatten
-from ..session import cut_lineage
+from ..session import cut_lineage, store as store_table
 
 
 @dataclass
@@ -42,9 +42,9 @@ def preprocess(raw: DataFrame, schema: ProfileSchema = DEFAULT_SCHEMA, store: bo
     flat = flatten(raw, schema)
     tokens = collapse.site_tokens(flat, schema.site_sets)
     if store:
-        tokens = cut_lineage(tokens)
+        tokens = store_table(tokens, "tokens")
     rows = collapse.collapse(flat, schema, tokens=tokens)
-    return Profiles(cut_lineage(rows) if store else rows, tokens)
+    return Profiles(store_table(rows, "profiles") if store else rows, tokens)
 
 
 def candidates(
@@ -93,7 +93,7 @@ def run_inference(
     """Batch inference. Profiles and scored pairs are stored once, being read several times."""
     profiles = preprocess(raw, schema, store=True)
     pairs = candidates(profiles, max_block=max_block, stop_df=stop_df)
-    scored = cut_lineage(score_pairs(pairs, profiles, fitted, auto, review, schema))
+    scored = store_table(score_pairs(pairs, profiles, fitted, auto, review, schema), "scored")
     clusters = components.connected_components(
         components.accepted_edges(scored, min_action), profiles.rows
     )
@@ -119,16 +119,16 @@ def run_training(
 ) -> Training:
     """Labelled candidates, split by entity, balanced training fold, fit, calibrated thresholds."""
     profiles = preprocess(raw, schema, store=True)
-    pairs = cut_lineage(candidates(profiles, labeled=True))
+    pairs = store_table(candidates(profiles, labeled=True), "pairs")
     recall = blocking.blocking_recall(pairs, profiles.rows)
     folded = splits.split_pairs(pairs, splits.entity_split(profiles.rows, val_fraction, seed))
     train = splits.sample_negatives(folded.filter("fold = 'train'").drop("fold"), neg_ratio, seed)
     val = folded.filter("fold = 'val'").drop("fold")
-    x_train = cut_lineage(features.pair_features(train, profiles.rows, schema, profiles.tokens))
-    x_val = cut_lineage(features.pair_features(val, profiles.rows, schema, profiles.tokens))
+    x_train = store_table(features.pair_features(train, profiles.rows, schema, profiles.tokens), "train")
+    x_val = store_table(features.pair_features(val, profiles.rows, schema, profiles.tokens), "val")
     fitted = model.fit_gbt(x_train, schema.feature_names, x_val, seed=seed, **gbt)
-    predicted = cut_lineage(
-        model.predict(fitted, x_val).select("profile_id_1", "profile_id_2", "is_match", "prob_match")
+    predicted = store_table(
+        model.predict(fitted, x_val).select("profile_id_1", "profile_id_2", "is_match", "prob_match"), "predicted"
     )
     curve = cut_lineage(evaluate.pr_curve(predicted, "prob_match", "is_match"))
     # Single rows.

@@ -18,6 +18,8 @@ def build_session(app: str = "kinfold", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Pair features cost much per byte; small shuffles should still use all cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.checkpoint.compress": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -56,3 +58,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on reliable storage and forget how it was made."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For tables with several readers: besides a short plan, the files give Spark the true
+    size, by which it decides whether a join may broadcast.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -163,6 +163,10 @@ def sweep(spark, sf):
     return stored("sweep", spark, sf, lambda: store(review.threshold_sweep(level_clusters(spark, sf), doc_pairs(spark, sf)), "sweep"))
 
 
+def fd_curve(spark, sf):
+    return evaluate.pr_curve(I.scored_labels(spark, sf))
+
+
 # -- sources and sinks -------------------------------------------------------------------
 
 
@@ -784,10 +788,10 @@ def entity_type_summary(spark, sf):
 
 
 @query(
-    """with multi as (select * from raw where created_at is not null and entity_id in (
-      select entity_id from raw group by 1 having count(*) > 1))
-    select 'day_of_week' as unit, isodow(created_at) - 1 as value, count(*) as n_rows from multi group by 2
-    union all select 'hour', hour(created_at), count(*) from multi group by 2""",
+    """select 'day_of_week' as unit, isodow(created_at) - 1 as value, count(*) as n_rows from raw
+      where created_at is not null and entity_id in (select entity_id from raw group by 1 having count(*) > 1) group by 2
+    union all select 'hour', hour(created_at), count(*) from raw
+      where created_at is not null and entity_id in (select entity_id from raw group by 1 having count(*) > 1) group by 2""",
     "raw",
 )
 def multi_entity_times(spark, sf):

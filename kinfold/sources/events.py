@@ -73,7 +73,10 @@ def write_events(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "er
     if fmt == "parquet":
         writer.parquet(path)
     elif fmt in TEXT_FORMATS:
-        writer.options(sep=TEXT_FORMATS[fmt], header=True, quote='"', escape='"').csv(path)
+        # As text a time keeps its microseconds.
+        times = [c for c, t in df.dtypes if t.startswith("timestamp")]
+        plain = df.withColumns({c: F.col(c).cast("string") for c in times}) if times else df
+        plain.write.mode(mode).options(sep=TEXT_FORMATS[fmt], header=True, quote='"', escape='"').csv(path)
     else:
         raise ValueError(f"unknown format: {fmt}")
 

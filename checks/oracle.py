@@ -218,7 +218,7 @@ CTE: dict[str, tuple[list[str], str]] = {
         ["records"],
         """select 'hash::' || substr(md5(list_aggregate(list_sort(list_filter([email_domain, sex,
           non_processing_features, realtime_features, fs_features, date, hour::varchar, day_of_week::varchar],
-          x -> x is not null and x <> '')), 'string_agg', '_')), 1, 8) as block_key, record_id from records""",
+          lambda x: x is not null and x <> '')), 'string_agg', '_')), 1, 8) as block_key, record_id from records""",
     ),
     "domain_keys": (
         ["records"],

@@ -287,18 +287,14 @@ def minhash_document_pairs(spark, sf):
 
 FEATURES = config.DEFAULT_SCHEMA.feature_names
 FEATURE_SQL = "select profile_id_1, profile_id_2, {} from feats".format(
-    O.comma(f"round({c}, 6) as {c}" if c.startswith("jaccard_") else c for c in FEATURES)
+    O.comma(FEATURES)
 )
 
 
-def _rounded_features(df):
-    return rounded(df, *[c for c in FEATURES if c.startswith("jaccard_")])
-
-
 @query(FEATURE_SQL, "feats")
 def pair_features(spark, sf):
     """F1-F8, F10."""
-    return _rounded_features(features.pair_features(fa_pairs(spark, sf), people(spark, sf).rows))
+    return features.pair_features(fa_pairs(spark, sf), people(spark, sf).rows)
 
 
 @query(FEATURE_SQL, "feats")
@@ -308,7 +304,7 @@ def pair_features_large_sets(spark, sf):
     small = p.rows.drop(*config.SITE_SET_COLS, "big_sets").join(
         collapse.inline_sets(p.tokens, limit=3), "profile_id", "left"
     )
-    return _rounded_features(features.pair_features(fa_pairs(spark, sf), small, tokens=p.tokens))
+    return features.pair_features(fa_pairs(spark, sf), small, tokens=p.tokens)
 
 
 @query(
@@ -324,11 +320,11 @@ def union_overlap(spark, sf):
 
 
 @query(
-    "select profile_id_1, profile_id_2, n, round(similarity, 6) as similarity from dsim", "dsim"
+    "select profile_id_1, profile_id_2, n, similarity from dsim", "dsim"
 )
 def document_similarity(spark, sf):
     """F6, F7 on all words of the documents."""
-    return rounded(doc_pairs(spark, sf), "similarity")
+    return doc_pairs(spark, sf)
 
 
 O.CTE["name_sim"] = (
@@ -953,12 +949,12 @@ RULES = (0.6, 0.25, 2.0, 0.1)
 
 @query(
     """select cluster_id, size, round(fp_rate, 6) as fp_rate, median_size, auto_merged, reason, profile_id_1, profile_id_2,
-    round(similarity, 6) as similarity from rules""",
+    similarity from rules""",
     "rules",
 )
 def review_rules(spark, sf):
     """Decision and reason per cluster."""
-    return rounded(review.review_rules(doc_clusters(spark, sf), doc_pairs(spark, sf), *RULES), "fp_rate", "similarity")
+    return rounded(review.review_rules(doc_clusters(spark, sf), doc_pairs(spark, sf), *RULES), "fp_rate")
 
 
 @query(
@@ -974,14 +970,13 @@ def review_summary(spark, sf):
 
 
 @query(
-    """select cluster_id, size, round(fp_rate, 6) as fp_rate, round(min_similarity, 6) as min_similarity,
-    round(max_similarity, 6) as max_similarity from dfacts where size > 2""",
+    """select cluster_id, size, round(fp_rate, 6) as fp_rate, min_similarity, max_similarity from dfacts where size > 2""",
     "dfacts",
 )
 def large_cluster_detail(spark, sf):
     """G12 with a size limit that documents reach."""
     out = review.large_cluster_detail(doc_clusters(spark, sf), doc_pairs(spark, sf), 0.6, 2)
-    return rounded(out, "fp_rate", "min_similarity", "max_similarity")
+    return rounded(out, "fp_rate")
 
 
 @query(

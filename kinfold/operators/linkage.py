@@ -1,16 +1,75 @@
-"""Average-linkage clustering of scored pairs."""
+"""Average-linkage clustering of scored pairs.
+
+Average linkage is reducible: merging two clusters never brings the result closer to a
+third one than the nearer of them was. All pairs of clusters that are each other's nearest
+can therefore merge in one round and give the tree of the one-merge-at-a-time algorithm.
+Only edges are kept, never a matrix of all pairs.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .components import star_edges
 from .skew import lookup_join
 
-MAX_ROUNDS = 1000
+MAX_ROUNDS = 10_000
+# Components up to this many edges merge inside one task, larger ones in Spark rounds.
+LOCAL_EDGES = 100_000
+
+
+def merge_rounds(a: np.ndarray, b: np.ndarray, w: np.ndarray, t: float, n: int) -> np.ndarray:
+    """Cluster label of ``n`` nodes; ``a < b`` are edge ends, ``w`` summed similarities."""
+    label, size = np.arange(n), np.ones(n)
+    while len(a):
+        mean = w / (size[a] * size[b])
+        close = mean > t
+        if not close.any():
+            break
+        order = np.lexsort((b[close], a[close], -mean[close]))
+        x, y = a[close][order], b[close][order]
+        rank = np.arange(len(x))
+        nearest = np.full(n, len(x))
+        np.minimum.at(nearest, x, rank)
+        np.minimum.at(nearest, y, rank)
+        mutual = (nearest[x] == rank) & (nearest[y] == rank)
+        into = np.arange(n)
+        into[y[mutual]] = x[mutual]
+        size[x[mutual]] += size[y[mutual]]
+        label = into[label]
+        p, q = into[a], into[b]
+        live = p != q
+        code, where = np.unique(np.minimum(p, q)[live] * n + np.maximum(p, q)[live], return_inverse=True)
+        w = np.bincount(where, weights=w[live])
+        a, b = code // n, code % n
+    return label
+
+
+def _merge_bucket(edges: pd.DataFrame) -> pd.DataFrame:
+    out = []
+    for t, part in edges.groupby("t"):
+        ids, codes = np.unique(np.concatenate([part["a"], part["b"]]).astype(object), return_inverse=True)
+        a, b = np.split(codes, 2)
+        label = merge_rounds(a, b, part["w"].to_numpy(), t, len(ids))
+        out.append(pd.DataFrame({"t": t, "id": ids, "cluster": ids[label]}))
+    return pd.concat(out)
+
+
+def _local(edges: DataFrame, n_edges: int) -> DataFrame:
+    """Whole components, many per task; a component here has at most ``LOCAL_EDGES`` edges."""
+    buckets = n_edges // LOCAL_EDGES + 8
+    bucket = F.pmod(F.xxhash64("root"), F.lit(buckets))
+    flat = edges.select(bucket.alias("bucket"), "a.t", F.col("a.id").alias("a"), F.col("b.id").alias("b"), "w")
+    merged = flat.groupBy("bucket").applyInPandas(_merge_bucket, "t double, id string, cluster string")
+    return merged.select(
+        F.struct("t", "id").alias("node"), F.struct("t", F.col("cluster").alias("id")).alias("cluster")
+    )
 
 
 def _relabel(edges: DataFrame, moves: DataFrame, side: str, n: int) -> DataFrame:
@@ -23,36 +82,11 @@ def _relabel(edges: DataFrame, moves: DataFrame, side: str, n: int) -> DataFrame
     ).drop("_new", "_size")
 
 
-def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
-    """``(threshold, profile_id, cluster_id)`` for every threshold.
-
-    ``pairs`` is ``(profile_id_1, profile_id_2, similarity)``, each pair once. Pairs
-    below a threshold count as similarity 0, and clusters merge while their average
-    similarity is above it.
-
-    Average linkage is reducible: merging a pair never brings the merged cluster closer
-    to a third one than the nearer of its parts was. All pairs of clusters that are each
-    other's nearest can therefore merge in the same round and give the tree of the
-    one-merge-at-a-time algorithm. Edges, not matrices, are kept, so a component of any
-    size stays distributed. All thresholds run in the same rounds.
-    """
-    levels = F.array(*[F.lit(float(t)) for t in thresholds])
-    wide = pairs.select(F.explode(levels).alias("t"), "profile_id_1", "profile_id_2", "similarity")
-    node = F.struct("t", F.col("id"))
-    nodes = (
-        pairs.select(F.explode(F.array("profile_id_1", "profile_id_2")).alias("id"))
-        .distinct()
-        .select(F.explode(levels).alias("t"), "id")
-        .select(node.alias("node"))
-    )
-    edges = wide.filter("similarity >= t").select(
-        F.struct("t", F.least("profile_id_1", "profile_id_2").alias("id")).alias("a"),
-        F.struct("t", F.greatest("profile_id_1", "profile_id_2").alias("id")).alias("b"),
-        F.col("similarity").cast("double").alias("w"),
-        F.lit(1).cast("bigint").alias("na"),
-        F.lit(1).cast("bigint").alias("nb"),
-    )
-    edges = cut_lineage(edges)
+def _distributed(edges: DataFrame) -> DataFrame:
+    """The same rounds as Spark jobs, for components too large for one task."""
+    one = F.lit(1).cast("bigint")
+    edges = cut_lineage(edges.select("a", "b", "w", one.alias("na"), one.alias("nb")))
+    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     members = cut_lineage(nodes.select("node", F.col("node").alias("cluster")))
     n_members = members.count()
     for _ in range(MAX_ROUNDS):
@@ -64,21 +98,20 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
         nearest = ends.groupBy("u").agg(F.min("e").alias("e"))
         mutual = nearest.groupBy("e.a", "e.b", "e.size").agg(F.count(F.lit(1)).alias("_n")).filter("_n = 2")
         moves = cut_lineage(
-            mutual.select(
-                F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), "size"
-            )
+            mutual.select(F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), "size")
         )
         if moves.isEmpty():
-            break
+            return members
         n_edges = edges.count()
         moved = _relabel(_relabel(edges, moves, "a", n_edges), moves, "b", n_edges).filter("a <> b")
+        ordered = F.col("a") < F.col("b")
         edges = cut_lineage(
             moved.select(
                 F.least("a", "b").alias("a"),
                 F.greatest("a", "b").alias("b"),
                 "w",
-                F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"),
+                F.when(ordered, F.col("na")).otherwise(F.col("nb")).alias("na"),
+                F.when(ordered, F.col("nb")).otherwise(F.col("na")).alias("nb"),
             )
             .groupBy("a", "b")
             .agg(F.sum("w").alias("w"), F.max("na").alias("na"), F.max("nb").alias("nb"))
@@ -89,10 +122,43 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
                 "node", F.coalesce("new", "cluster").alias("cluster")
             )
         )
-    else:
-        raise RuntimeError(f"linkage did not settle in {MAX_ROUNDS} rounds")
-    return members.select(
+    raise RuntimeError(f"linkage did not settle in {MAX_ROUNDS} rounds")
+
+
+def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+    """``(threshold, profile_id, cluster_id)``; all thresholds run together.
+
+    ``pairs`` is ``(profile_id_1, profile_id_2, similarity)``, each pair once. Pairs below a
+    threshold count as similarity 0; clusters merge while their mean similarity is above it,
+    so nothing merges across components and each component can be solved where it fits.
+    """
+    levels = F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("t")
+    wide = pairs.select(levels, "profile_id_1", "profile_id_2", "similarity").filter("similarity >= t")
+    edges = cut_lineage(
+        wide.select(
+            F.struct("t", F.least("profile_id_1", "profile_id_2").alias("id")).alias("a"),
+            F.struct("t", F.greatest("profile_id_1", "profile_id_2").alias("id")).alias("b"),
+            F.col("similarity").cast("double").alias("w"),
+        )
+    )
+    n_edges = edges.count()
+    # The larger end of an edge is never the smallest node of its component.
+    roots = star_edges(edges.select("a", "b")).select(F.col("hi").alias("b"), F.col("lo").alias("root"))
+    rooted = lookup_join(edges, roots, "b", "a", n_edges)
+    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    sized = cut_lineage(lookup_join(rooted, sizes, "root", "b", n_edges))
+    merged = _local(sized.filter(F.col("n") <= LOCAL_EDGES), n_edges)
+    large = sized.filter(F.col("n") > LOCAL_EDGES)
+    if not large.isEmpty():
+        merged = merged.unionByName(_distributed(large))
+    nodes = (
+        pairs.select(F.explode(F.array("profile_id_1", "profile_id_2")).alias("id"))
+        .distinct()
+        .select(levels, "id")
+        .select(F.struct("t", "id").alias("node"))
+    )
+    return nodes.join(merged, "node", "left").select(
         F.col("node.t").alias("threshold"),
         F.col("node.id").alias("profile_id"),
-        F.col("cluster.id").alias("cluster_id"),
+        F.coalesce("cluster.id", "node.id").alias("cluster_id"),
     )

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..config import AUTO_MERGE_THRESHOLD, REVIEW_THRESHOLD
 from ..session import cut_lineage
+from . import skew
 from .blocking import attach_both
+
 from .skew import lookup_join
 
 # Names of the three decisions.
@@ -70,7 +72,10 @@ def star_edges(edges: DataFrame) -> DataFrame:
         if state[0] == 0:
             return current
         n = state[0]
-        current = cut_lineage(_small_star(_large_star(current, n).distinct(), n).distinct())
+        linked = _large_star(current, n).distinct()
+        if n >= skew.SALT_FROM:
+            linked = cut_lineage(linked)
+        current = cut_lineage(_small_star(linked, n).distinct())
         previous, state = state, _state(current)
         if state == previous:
             return current

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from . import skew
 from .components import star_edges
+
 from .skew import lookup_join
 
 MAX_ROUNDS = 10_000
@@ -103,7 +105,10 @@ def _distributed(edges: DataFrame) -> DataFrame:
         if moves.isEmpty():
             return members
         n_edges = edges.count()
-        moved = _relabel(_relabel(edges, moves, "a", n_edges), moves, "b", n_edges).filter("a <> b")
+        half = _relabel(edges, moves, "a", n_edges)
+        if n_edges >= skew.SALT_FROM:
+            half = cut_lineage(half)
+        moved = _relabel(half, moves, "b", n_edges).filter("a <> b")
         ordered = F.col("a") < F.col("b")
         edges = cut_lineage(
             moved.select(
@@ -144,7 +149,7 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     n_edges = edges.count()
     # The larger end of an edge is never the smallest node of its component.
     roots = star_edges(edges.select("a", "b")).select(F.col("hi").alias("b"), F.col("lo").alias("root"))
-    rooted = lookup_join(edges, roots, "b", "a", n_edges)
+    rooted = cut_lineage(lookup_join(edges, roots, "b", "a", n_edges))
     sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     sized = cut_lineage(lookup_join(rooted, sizes, "root", "b", n_edges))
     merged = _local(sized.filter(F.col("n") <= LOCAL_EDGES), n_edges)

@@ -74,7 +74,9 @@ def lookup_join(
     if n_rows < SALT_FROM:
         return big.join(lookup, key, how)
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return salted_join(big, lookup, key, hot_keys(counts, key, "_n"), F.col(spread_by), how)
+    # Stored, because both sides of the join read it; ``big`` should be a stored table too.
+    hot = cut_lineage(hot_keys(counts, key, "_n"))
+    return salted_join(big, lookup, key, hot, F.col(spread_by), how)
 
 
 def range_split(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -21,7 +21,6 @@ def build_session(app: str = "kinfold", master: str | None = None, **conf: str)
         # Pair features cost much per byte; small shuffles should still use all cores.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.checkpoint.compress": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     for key, value in settings.items():
@@ -54,12 +53,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/kinfold/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` on reliable storage and forget how it was made."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def store(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -69,3 +62,12 @@ def store(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise one step of a loop and forget how it was made.
+
+    A written table, not ``checkpoint()``: a checkpointed plan keeps the constraints of
+    its history, and planning time doubles with every round of a loop.
+    """
+    return store(df, "step")

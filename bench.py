@@ -10,22 +10,16 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "flatten_events",
     "collapse_profiles",
-    "collapse_sets",
     "blocks_default",
     "candidate_pairs",
     "pair_features",
-    "rule_scores",
     "connected_components",
     "inference_summary",
-    "document_pairs",
     "document_components",
     "average_linkage",
     "linkage_sweep",
-    "normalize_email",
     "priority_chunks",
-    "minhash_keys",
     "time_gaps",
     "describe_lines",
     "calibrate",

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from kinfold.config import DEFAULT_SCHEMA as S
 from kinfold.functions import normalize as n
-from kinfold.operators.blocking import _coefficients
-from kinfold.operators.evaluate import REVIEW_GRID, SWEEP_GRID
 
 from .inputs import CONTACT_RULES, DOC_STOP_DF, RAW_RULES
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinfold import config
@@ -15,18 +15,13 @@ from kinfold.operators import (
     collapse,
     components,
     evaluate,
-    features,
-    linkage,
-    model,
     profiling,
     review,
-    splits,
 )
 from kinfold.operators.flatten import discover_keys, flatten, realtime_place
 from kinfold.plans import inference
 from kinfold.session import store
 from kinfold.sources import events as io
-from kinfold.streaming import incremental, monitor
 
 from . import inputs as I
 from . import oracle as O
@@ -377,7 +372,6 @@ def key_discovery(spark, sf):
 
 # -- normalisation -----------------------------------------------------------------------
 
-STRIP = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
 PHONE_KEPT = """case when starts_with(x, '8') then '+7' || substr(x, 2) else x end"""
 
 

@@ -19,7 +19,6 @@ from kinfold.operators import (
     review,
     splits,
 )
-from kinfold.operators.flatten import flatten, realtime_place
 from kinfold.plans import inference
 from kinfold.session import store
 from kinfold.sources import events as io

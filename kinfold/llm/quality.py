@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .common import SPACE, let, text_or_empty, words_of
+from .common import let, text_or_empty, words_of
 
 ROUNDS = 30
 KEEP_FROM = 0.5
@@ -63,6 +63,7 @@ def _measures(text: Column) -> Column:
         )
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             F.size(F.array_distinct(w)).cast("long").alias("n_distinct"),
             F.when(F.size(w) >= 3, let(grams, _covered)).otherwise(0).cast("long").alias("n_repeat_words"),
         )
@@ -81,10 +82,9 @@ def _measures(text: Column) -> Column:
     return F.struct(
         let(words_of(text), of_words).alias("w"),
         let(lines, of_lines).alias("l"),
-        without(SPACE).alias("word_chars"),
-        (length - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        (length - without(r"[#*$%&|<>]+")).alias("n_symbols"),
         (length - without(r"\p{Lu}+")).alias("n_upper"),
-        (length - F.length(F.translate(text, "!?", ""))).cast("long").alias("n_marks"),
+        (length - without(r"[!?]+")).alias("n_marks"),
         text.rlike(r"[.!?\"')»\]]\s*$").alias("ends_well"),
     )
 
@@ -93,7 +93,7 @@ def quality_counts(text: Column) -> Column:
     """One struct with the fields of ``COUNTS``."""
 
     def flat(m: Column) -> Column:
-        where = {"n_words": "w", "n_distinct": "w", "n_repeat_words": "w", "n_lines": "l", "n_dup_lines": "l"}
+        where = {"n_words": "w", "word_chars": "w", "n_distinct": "w", "n_repeat_words": "w", "n_lines": "l", "n_dup_lines": "l"}
         return F.struct(*[(m[where[c]][c] if c in where else m[c]).alias(c) for c in COUNTS])
 
     return let(_measures(text_or_empty(text)), flat)

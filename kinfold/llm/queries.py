@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, mixing, quality, warc
+from . import decontaminate, language, lines, mixing, quality, tokenfiles, toxicity, warc
 from .sql import MIX_SQL, LEAK_SQL, LINES_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.judge_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @register("op2_decontaminate", LEAK_SQL)
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -47,6 +56,12 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register("op6_token_files")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    digests = tokenfiles.token_file_digests(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+    return digests.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @register("op8_quality_rules")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf, "documents")).drop("posterior")
@@ -57,3 +72,8 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@register("op10_language_id")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify_languages(table(spark, sf, "documents"))

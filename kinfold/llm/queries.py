@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lines, mixing, quality, tokenfiles, toxicity, warc
+from . import decontaminate, jaccard, language, lines, mixing, quality, tokenfiles, toxicity, warc
 from .sql import MIX_SQL, LEAK_SQL, LINES_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,9 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @register("op10_language_id")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify_languages(table(spark, sf, "documents"))
+
+
+@register("op3_jaccard_join")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    found = jaccard.similar_components(table(spark, sf, "documents"), k=4, similar=(17, 20))
+    return found.select("doc_id", "n_shingles", "component_id")

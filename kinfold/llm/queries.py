@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, lines, mixing, quality, tokenfiles, toxicity, warc
+from . import decontaminate, jaccard, language, lines, mixing, quality, suffixes, tokenfiles, toxicity, warc
 from .sql import MIX_SQL, LEAK_SQL, LINES_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     found = jaccard.similar_components(table(spark, sf, "documents"), k=4, similar=(17, 20))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@register("op7_suffix_dedup")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf, "documents"), with_bytes=False)

@@ -84,7 +84,7 @@ def mix_sources(
     most: int = MOST_EPOCHS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Per document: id, source, size, source_size, target, epochs, taken."""
+    """Per document: id, text hash, source, size, source_size, target, times, taken."""
     n = n_words_of(text)
     slim = store(
         docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("real_source"), n.alias("size"), F.col(text).alias("_text"))
@@ -116,12 +116,40 @@ def mix_sources(
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
     # The middle of a document decides, so the prefix ends where it comes nearest to the rest.
     chosen = F.col("before") + F.col("start") + F.col("size") / F.lit(2.0) <= rest
+    times = F.col("epochs") + F.when(chosen, 1).otherwise(0)
     return placed.withColumn("epochs", epochs).select(
         "doc_id",
+        "tie",
         F.col("real_source").alias("source"),
         "size",
         "source_size",
         "target",
-        "epochs",
-        (F.col("size") * (F.col("epochs") + F.when(chosen, 1).otherwise(0))).alias("taken"),
+        times.alias("times"),
+        (F.col("size") * times).alias("taken"),
     )
+
+
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: none, once or several times each, all columns as they were.
+
+    Rows equal in id, text and source share what was taken of them together, as evenly as it goes.
+    """
+    mix = mix_sources(docs, doc_id, text, source, **options)
+    shares = store(
+        mix.groupBy("doc_id", "tie", "source").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("rows")).filter("times > 0"), "mix-times"
+    )
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(doc_id).alias("_id"), F.md5(text_or_empty(text)).alias("_tie"), F.col(source).alias("_source"),
+    )
+    met = whole.join(
+        shares, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_tie") == F.col("tie")) & F.col("_source").eqNullSafe(F.col("source"))
+    )
+    # Only rows that repeat are numbered.
+    single = met.filter("rows = 1").withColumn("n", F.col("times"))
+    place = F.row_number().over(Window.partitionBy("_id", "_tie", "_source").orderBy("_tie"))
+    several = met.filter("rows > 1").withColumn("place", place).withColumn(
+        "n", F.floor(F.col("times") / F.col("rows")) + F.when(F.col("place") <= F.col("times") % F.col("rows"), 1).otherwise(0)
+    ).drop("place")
+    taken = single.unionByName(several).filter("n > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n").cast("long")))).select("row.*")

@@ -44,11 +44,13 @@ from .shingles import mix, shingle_sets
 
 SHINGLE = 5
 SIMILAR = (4, 5)
-FRAGMENT_TOKENS = 1_500_000
+FRAGMENT_TOKENS = 500_000
 # Part of the sorted set in which shared n-grams are demanded, as a share of its size.
 TESTED = 0.25
 VERIFY_FRAGMENTS = 8
-MOST_ROUNDS = 6
+MOST_ROUNDS = 3
+# Pairs left per prefix entry from which on rounds with hubs pay.
+FEW_PAIRS = 20
 DOCS_AT_ONCE = 2_000
 
 
@@ -191,7 +193,8 @@ def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int
 
     ``ids`` has ``(doc_id, cid)``, one document of each class.
     """
-    fragments = max(shuffle_width(docs), total // FRAGMENT_TOKENS + 1)
+    # Not more: a class comes back once for each fragment it has n-grams in.
+    fragments = total // FRAGMENT_TOKENS + 1
     wanted = ids.select(F.col("doc_id").alias("_id"), F.col("cid").alias("_cid"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(
         wanted, F.col("doc_id").eqNullSafe(F.col("_id"))
@@ -264,7 +267,6 @@ def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
         ),
         "jaccard-prefixes",
     )
-    links: DataFrame | None = None
     stars: DataFrame | None = None
     for step in range(MOST_ROUNDS):
         placed = entries.withColumn("comp", F.col("cid")) if stars is None else entries.join(
@@ -278,7 +280,7 @@ def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
         row = size.agg(F.sum(F.col("k") * (F.col("m") - F.col("k")) / 2).alias("pairs"), F.sum("k").alias("rows")).first()
         if not row["rows"]:
             break
-        last = row["pairs"] <= 4 * row["rows"] or step == MOST_ROUNDS - 1
+        last = row["pairs"] <= FEW_PAIRS * row["rows"] or step == MOST_ROUNDS - 1
         if last:
             other = live.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "comp", "pos")])
             met = live.join(other, "gram").filter("cid < cid_b and comp <> comp_b")
@@ -298,8 +300,9 @@ def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
             possible.select(F.least("cid", "cid_b").alias("a"), F.greatest("cid", "cid_b").alias("b")).distinct(), "jaccard-pairs"
         )
         found = store(_verified(pairs, pieces, similar), "jaccard-links")
-        links = found if links is None else links.unionByName(found)
-        stars = star_edges(links)
+        # Earlier links live on in the stars.
+        edges = found.select(F.col("b").alias("hi"), F.col("a").alias("lo"))
+        stars = star_edges(edges if stars is None else edges.unionByName(stars.select("hi", "lo")))
         if last:
             break
     return stars if stars is not None else entries.select(F.col("cid").alias("hi"), F.col("cid").alias("lo")).limit(0)

@@ -38,7 +38,7 @@ BLOCK = 1024
 SEGMENT_IDS = 1_000_000
 SHARD_BYTES = 16_000_000
 END_ID = 2
-CACHED_WORDS = 300_000
+CACHED_WORDS = 800_000
 WORDS_AT_ONCE = 5_000
 GROUP_CHARS = 4_000_000
 MAGIC = b"S8B1"

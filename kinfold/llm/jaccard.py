@@ -47,10 +47,10 @@ SIMILAR = (4, 5)
 FRAGMENT_TOKENS = 500_000
 # Part of the sorted set in which shared n-grams are demanded, as a share of its size.
 TESTED = 0.25
-VERIFY_FRAGMENTS = 8
-MOST_ROUNDS = 3
+VERIFY_FRAGMENTS = 4
+MOST_ROUNDS = 4
 # Pairs left per prefix entry from which on rounds with hubs pay.
-FEW_PAIRS = 20
+FEW_PAIRS = 1
 DOCS_AT_ONCE = 2_000
 
 

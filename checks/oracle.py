@@ -255,7 +255,7 @@ CTE: dict[str, tuple[list[str], str]] = {
         join (select profile_id, count(*) as s from dtok group by 1) a on a.profile_id = profile_id_1
         join (select profile_id, count(*) as s from dtok group by 1) b on b.profile_id = profile_id_2""",
     ),
-    "dnodes": (["dsim"], "select distinct unnest([profile_id_1, profile_id_2]) as id from dsim"),
+    "dnodes": (["docs"], "select distinct profile_id as id from docs"),
     "dedges": (["dsim"], "select profile_id_1 as a, profile_id_2 as b from dsim where similarity >= 0.6"),
     **components("dedges", "dnodes", "dcc"),
     "dclusters": (["dcc"], "select id as profile_id, lab as cluster_id from dcc"),

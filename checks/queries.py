@@ -120,8 +120,8 @@ def doc_pairs(spark, sf):
 
 
 def doc_ids(spark, sf):
-    both = F.explode(F.array("profile_id_1", "profile_id_2"))
-    return doc_pairs(spark, sf).select(both.alias("profile_id")).distinct()
+    """All documents, paired or not."""
+    return I.doc_profiles(spark, sf).select("profile_id").distinct()
 
 
 def doc_clusters(spark, sf):

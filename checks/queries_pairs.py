@@ -28,6 +28,7 @@ from . import inputs as I
 from . import oracle as O
 from .queries import (
     doc_clusters,
+    doc_ids,
     doc_pairs,
     doc_tokens,
     fa_clusters,
@@ -844,8 +845,7 @@ def connected_components(spark, sf):
 def document_components(spark, sf):
     """G2 on near-equal documents."""
     edges = doc_pairs(spark, sf).filter("similarity >= 0.6").select(*IDS)
-    ids = F.explode(F.array(*IDS))
-    return components.connected_components(edges, doc_pairs(spark, sf).select(ids.alias("profile_id")).distinct())
+    return components.connected_components(edges, doc_ids(spark, sf))
 
 
 @query("select cluster_id, count(*) as size from clusters group by 1", "clusters")
@@ -869,7 +869,7 @@ def inference_summary(spark, sf):
 @query()
 def average_linkage(spark, sf):
     """G5 at threshold 0.5 (brute-force checked in the tests)."""
-    return linkage.average_linkage(doc_pairs(spark, sf), [0.5])
+    return linkage.average_linkage(doc_pairs(spark, sf), [0.5], doc_ids(spark, sf))
 
 
 @query()
@@ -1049,8 +1049,7 @@ def browse_inner_pairs(spark, sf):
 def incremental_components(spark, sf):
     """The close pairs first, the others added later."""
     pairs = doc_pairs(spark, sf).filter("similarity >= 0.6")
-    ids = doc_pairs(spark, sf).select(F.explode(F.array(*IDS)).alias("profile_id")).distinct()
-    first = components.connected_components(pairs.filter("similarity >= 0.9").select(*IDS), ids)
+    first = components.connected_components(pairs.filter("similarity >= 0.9").select(*IDS), doc_ids(spark, sf))
     return components.extend_components(first, pairs.filter("similarity < 0.9").select(*IDS))
 
 

@@ -130,10 +130,11 @@ def _distributed(edges: DataFrame) -> DataFrame:
     raise RuntimeError(f"linkage did not settle in {MAX_ROUNDS} rounds")
 
 
-def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
+def average_linkage(pairs: DataFrame, thresholds: Sequence[float], nodes: DataFrame | None = None) -> DataFrame:
     """``(threshold, profile_id, cluster_id)``; all thresholds run together.
 
-    ``pairs`` is ``(profile_id_1, profile_id_2, similarity)``, each pair once. Pairs below a
+    ``pairs`` is ``(profile_id_1, profile_id_2, similarity)``, each pair once; ``nodes`` has ``profile_id`` of
+    all profiles, without it only paired ones are listed. Pairs below a
     threshold count as similarity 0; clusters merge while their mean similarity is above it,
     so nothing merges across components and each component can be solved where it fits.
     """
@@ -156,13 +157,11 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float]) -> DataFrame:
     large = sized.filter(F.col("n") > LOCAL_EDGES)
     if not large.isEmpty():
         merged = merged.unionByName(_distributed(large))
-    nodes = (
-        pairs.select(F.explode(F.array("profile_id_1", "profile_id_2")).alias("id"))
-        .distinct()
-        .select(levels, "id")
-        .select(F.struct("t", "id").alias("node"))
-    )
-    return nodes.join(merged, "node", "left").select(
+    if nodes is None:
+        listed = pairs.select(F.explode(F.array("profile_id_1", "profile_id_2")).alias("id")).distinct()
+    else:
+        listed = nodes.select(F.col("profile_id").alias("id")).distinct()
+    return listed.select(levels, "id").select(F.struct("t", "id").alias("node")).join(merged, "node", "left").select(
         F.col("node.t").alias("threshold"),
         F.col("node.id").alias("profile_id"),
         F.coalesce("cluster.id", "node.id").alias("cluster_id"),

@@ -125,7 +125,9 @@ def importance(model: PipelineModel, spark) -> DataFrame:
 
 
 def explain_pairs(features: DataFrame, model: PipelineModel, top_k: int = 12) -> DataFrame:
-    """The ``top_k`` largest contributions coefficient * value of every pair."""
+    """The ``top_k`` largest contributions coefficient * value of every pair, for linear models."""
+    if not hasattr(model.stages[-1], "coefficients"):
+        raise ValueError("contributions need a linear model; tree models have no coefficients")
     cols = feature_cols_of(model)
     weights = [float(v) for v in model.stages[-1].coefficients.toArray()]
     filled = fill_missing(features, cols)

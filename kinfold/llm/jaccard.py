@@ -15,6 +15,9 @@ summed per pair.
    so rounds pair all with one hub per n-gram first, and linked classes become one component; candidates inside
    a component tell nothing new. When few pairs across components are left, all of them are taken. Every
    candidate pair is therefore verified or inside a component: no link that joins components is lost.
+   A candidate also has to pass a bound from ``SKETCH_WORDS`` 64-bit words per class, the parity of its shared n-grams
+   per bit: sets differ in at least as many n-grams as the words differ in bits. The bound is exact (it drops no
+   link) and is tested inside the candidate join, so a crowd of texts that are alike but do not link stays small.
 5. Verification: both sides' fragments of the order meet, partial overlaps are summed per pair.
 
 A fragment holds about ``FRAGMENT_TOKENS`` n-grams at any input size. An n-gram that occurs in two documents of an input batch is
@@ -48,6 +51,7 @@ FRAGMENT_TOKENS = 500_000
 # Part of the sorted set in which shared n-grams are demanded, as a share of its size.
 TESTED = 0.25
 VERIFY_FRAGMENTS = 4
+SKETCH_WORDS = 8
 MOST_ROUNDS = 4
 # Pairs left per prefix entry from which on rounds with hubs pay.
 FEW_PAIRS = 1
@@ -189,7 +193,7 @@ def _as_arrow(send):
 
 
 def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int, total: int) -> DataFrame:
-    """Step 3: ``(cid, n, gram, df)`` rows, packed in arrays, of n-grams that two of the classes share.
+    """Step 3: ``(cid, n, gram, df)`` rows, packed in arrays, of n-grams that two of the classes share, and their parity words.
 
     ``ids`` has ``(doc_id, cid)``, one document of each class.
     """
@@ -224,11 +228,20 @@ def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int
                 "n": [int(sizes[p[0]]) for p in parts],
                 "grams": [grams[p].view(np.int64) for p in parts],
                 "dfs": [df[p] for p in parts],
+                "words": [parity_words(grams[p]) for p in parts],
             }
         )
 
     sent = texts.mapInArrow(_as_arrow(send), PACKED)
-    return sent.groupBy("fragment").applyInPandas(keep, "cid long, n long, grams array<long>, dfs array<long>")
+    return sent.groupBy("fragment").applyInPandas(keep, "cid long, n long, grams array<long>, dfs array<long>, words array<long>")
+
+
+def parity_words(grams: np.ndarray) -> np.ndarray:
+    """Every n-gram flips one bit of ``SKETCH_WORDS`` words."""
+    words = np.zeros(SKETCH_WORDS, np.uint64)
+    h = mix(grams.astype(np.uint64))
+    np.bitwise_xor.at(words, (h >> np.uint64(6)) % np.uint64(SKETCH_WORDS), np.uint64(1) << (h & np.uint64(63)))
+    return words.view(np.int64)
 
 
 def _overlap_needed(a: Column, b: Column, similar: tuple[int, int]) -> Column:
@@ -250,7 +263,8 @@ def _verified(pairs: DataFrame, pieces: DataFrame, similar: tuple[int, int]) ->
 def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """Steps 3 to 5: ``(hi, lo)``, classes and the smallest class id of their component.
 
-    ``classes`` has ``(cid, n, order)`` with ``order`` the shared n-grams as (df, gram), rarest first.
+    ``classes`` has ``(cid, n, order, w0, w1, ...)`` with ``order`` the shared n-grams as (df, gram), rarest first, and
+    their parity words.
     """
     pieces = store(
         classes.select("cid", "n", F.explode("order").alias("o"))
@@ -259,14 +273,16 @@ def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
         "jaccard-pieces",
     )
     shared = F.size("order")
+    words = [f"w{i}" for i in range(SKETCH_WORDS)]
     prefix = F.col("n") - F.ceil(F.col("n") * similar[0] / F.lit(float(similar[1])) - 1e-9) + 1 - (F.col("n") - shared)
     # N-grams that no other class has are the rarest: they fill the first n - shared places of the prefix.
     entries = store(
-        classes.select("cid", "n", shared.alias("s"), F.posexplode(F.slice("order", F.lit(1), prefix.cast("int"))).alias("pos", "o")).select(
-            "cid", "n", (F.col("n") - F.col("s") + F.col("pos")).alias("pos"), F.col("o.gram").alias("gram")
-        ),
+        classes.select(
+            "cid", "n", shared.alias("s"), *words, F.posexplode(F.slice("order", F.lit(1), prefix.cast("int"))).alias("pos", "o")
+        ).select("cid", "n", "s", *words, (F.col("n") - F.col("s") + F.col("pos")).alias("pos"), F.col("o.gram").alias("gram")),
         "jaccard-prefixes",
     )
+    sides = ["cid", "n", "s", "comp", "pos", *words]
     stars: DataFrame | None = None
     for step in range(MOST_ROUNDS):
         placed = entries.withColumn("comp", F.col("cid")) if stars is None else entries.join(
@@ -282,19 +298,22 @@ def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
             break
         last = row["pairs"] <= FEW_PAIRS * row["rows"] or step == MOST_ROUNDS - 1
         if last:
-            other = live.select("gram", *[F.col(c).alias(f"{c}_b") for c in ("cid", "n", "comp", "pos")])
+            other = live.select("gram", *[F.col(c).alias(f"{c}_b") for c in sides])
             met = live.join(other, "gram").filter("cid < cid_b and comp <> comp_b")
         else:
             hub = live.groupBy("gram").agg(
-                F.min(F.struct(F.xxhash64(F.lit(step), "cid").alias("h"), "cid", "n", "comp", "pos")).alias("hub")
-            ).select("gram", *[F.col(f"hub.{c}").alias(f"{c}_b") for c in ("cid", "n", "comp", "pos")])
+                F.min(F.struct(F.xxhash64(F.lit(step), "cid").alias("h"), *sides)).alias("hub")
+            ).select("gram", *[F.col(f"hub.{c}").alias(f"{c}_b") for c in sides])
             met = live.join(hub, "gram").filter("comp <> comp_b")
         needed = _overlap_needed(F.col("n"), F.col("n_b"), similar)
         room = F.least(F.col("n") - F.col("pos"), F.col("n_b") - F.col("pos_b"))
+        differing = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_b"))) for w in words), F.lit(0))
         possible = met.filter(
             (F.least("n", "n_b") * similar[1] >= F.greatest("n", "n_b") * similar[0])
             # Common n-grams: at most those before this one on the shorter side, and the rest of either.
             & (room >= needed - F.least("pos", "pos_b"))
+            # Common n-grams are shared ones: s + s_b less those in one set only, halved.
+            & (F.col("s") + F.col("s_b") - differing >= 2 * needed)
         )
         pairs = store(
             possible.select(F.least("cid", "cid_b").alias("a"), F.greatest("cid", "cid_b").alias("b")).distinct(), "jaccard-pairs"
@@ -320,9 +339,12 @@ def similar_components(
     grams = shared_grams(docs, chosen, doc_id, text, k, left)
     classes = store(
         grams.groupBy("cid", "n")
-        .agg(F.flatten(F.collect_list(F.arrays_zip(F.col("dfs").alias("df"), F.col("grams").alias("gram")))).alias("order"))
+        .agg(
+            F.flatten(F.collect_list(F.arrays_zip(F.col("dfs").alias("df"), F.col("grams").alias("gram")))).alias("order"),
+            *[F.bit_xor(F.get("words", F.lit(i))).alias(f"w{i}") for i in range(SKETCH_WORDS)],
+        )
         .filter(F.size("order") * similar[1] >= F.col("n") * similar[0])
-        .select("cid", "n", F.array_sort("order").alias("order")),
+        .select("cid", "n", F.array_sort("order").alias("order"), *[f"w{i}" for i in range(SKETCH_WORDS)]),
         "jaccard-classes",
     )
     stars = class_links(classes, similar).select(F.col("hi").alias("cid"), "lo")

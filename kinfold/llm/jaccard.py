@@ -12,7 +12,7 @@ summed per pair.
    frequency; a class with too few of them is out. The rest, rarest n-grams first, is prefix-filtered: partners at the
    threshold share an n-gram of their prefixes.
 4. Classes that share a prefix n-gram are candidates. A crowd of near copies would make a candidate of each pair,
-   so rounds pair all with one hub per n-gram first, and linked classes become one component; candidates inside
+   so rounds pair all with one hub per n-gram first, then with 4 and 16, and linked classes become one component; candidates inside
    a component tell nothing new. When few pairs across components are left, all of them are taken. Every
    candidate pair is therefore verified or inside a component: no link that joins components is lost.
    A candidate also has to pass a bound from ``SKETCH_WORDS`` 64-bit words per class, the parity of its shared n-grams
@@ -53,6 +53,7 @@ TESTED = 0.25
 VERIFY_FRAGMENTS = 4
 SKETCH_WORDS = 8
 MOST_ROUNDS = 4
+MORE_HUBS = 4
 # Pairs left per prefix entry from which on rounds with hubs pay.
 FEW_PAIRS = 1
 DOCS_AT_ONCE = 2_000
@@ -301,8 +302,10 @@ def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
             other = live.select("gram", *[F.col(c).alias(f"{c}_b") for c in sides])
             met = live.join(other, "gram").filter("cid < cid_b and comp <> comp_b")
         else:
-            hub = live.groupBy("gram").agg(
-                F.min(F.struct(F.xxhash64(F.lit(step), "cid").alias("h"), *sides)).alias("hub")
+            # Few hubs join most of a crowd; texts still apart meet more of them in the next round.
+            draw = F.xxhash64(F.lit(step), "cid")
+            hub = live.groupBy("gram", F.pmod(draw, F.lit(MORE_HUBS**step)).alias("part")).agg(
+                F.min(F.struct(draw.alias("h"), *sides)).alias("hub")
             ).select("gram", *[F.col(f"hub.{c}").alias(f"{c}_b") for c in sides])
             met = live.join(hub, "gram").filter("comp <> comp_b")
         needed = _overlap_needed(F.col("n"), F.col("n_b"), similar)

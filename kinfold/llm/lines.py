@@ -31,7 +31,8 @@ WILD = "<*>"
 
 
 def masked_tokens(line: Column) -> Column:
-    return words_of(F.regexp_replace(line, r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", WILD))
+    # A possessive run up to the first digit: words without one are not tried at every length.
+    return words_of(F.regexp_replace(line, r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*", WILD))
 
 
 def _keys(tokens: Column, depth: int) -> Column:

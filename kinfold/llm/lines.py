@@ -31,8 +31,8 @@ WILD = "<*>"
 
 
 def masked_tokens(line: Column) -> Column:
-    # A possessive run up to the first digit: words without one are not tried at every length.
-    return words_of(F.regexp_replace(line, r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*", WILD))
+    # Word by word: a pattern over the line would try words without a digit from each of their characters.
+    return F.transform(words_of(line), lambda word: F.when(word.rlike("[0-9]"), WILD).otherwise(word))
 
 
 def _keys(tokens: Column, depth: int) -> Column:

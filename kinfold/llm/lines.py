@@ -50,7 +50,8 @@ def _document(doc_id: str) -> Column:
 def _lines(docs: DataFrame, doc_id: str, text: str, depth: int) -> DataFrame:
     """``(doc, leaf, line, tokens)`` of lines with a token."""
     exploded = docs.select(_document(doc_id).alias("doc"), F.explode(F.split(F.col(text), "\n")).alias("raw"))
-    tokens = exploded.select("doc", masked_tokens(F.col("raw")).alias("tokens")).filter(F.size("tokens") > 0)
+    # Tested on the line itself: a filter on tokens would move below them and make them twice.
+    tokens = exploded.filter(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).select("doc", masked_tokens(F.col("raw")).alias("tokens"))
     return tokens.select("doc", _keys(F.col("tokens"), depth).alias("k"), "tokens").select("doc", "k.leaf", "k.line", "tokens")
 
 

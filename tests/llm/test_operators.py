@@ -181,6 +181,26 @@ def test_line_templates(spark, empty):
     assert lines.drop_lines(empty).count() == 0
 
 
+def dropped_lines(spark, texts):
+    frame = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
+    return {r["doc"]["doc_id"]: r["cleaned"]["n_dropped"] for r in lines.drop_lines(frame).collect()}
+
+
+def test_line_templates_of_a_crowded_leaf(spark):
+    rng = random.Random(1)
+    draw = lambda k: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(k))
+    lead, tail, middle, end = "the same four words", draw(16), draw(6), draw(6)
+    made = [f"{lead} {tail}"] * 12  # an equal line
+    made += [f"{lead} {draw(2)} {middle} {draw(2)} {end}" for _ in range(12)]  # a template with slots
+    made += [f"{lead} {tail} or {draw(1)}" for _ in range(5)]  # too few
+    variant = tail.split(" ")
+    made += [" ".join([lead, *variant[:7], draw(1), *variant[8:]]) for _ in range(3)]  # odd variants of the equal line
+    made += [f"{lead} {draw(16)}" for _ in range(100)]
+    got = dropped_lines(spark, made)
+    want = [1] * 24 + [0] * 5 + [1] * 3 + [0] * 100
+    assert [got[i] for i in range(len(made))] == want
+
+
 def test_simple8b():
     rng = np.random.default_rng(3)
     for n in (0, 1, 1023, 1024, 1025, 3000):

@@ -1,7 +1,8 @@
 """Line deduplication with a log-template tree.
 
 A line is parsed to a leaf of a tree of fixed depth: first by its number of tokens, then by its leading
-tokens, in which fields that vary by nature (anything with a digit) stand as ``<*>``. Dropped are
+tokens, in which fields that vary by nature (anything with a digit) stand as ``<*>``. A line that is mostly such
+fields, as a table row is, keeps its own tokens: only equal rows are one line. Dropped are
 
 1. lines that recur in ``min_docs`` or more documents, fields masked;
 2. lines of a group that recurs in so many documents. A leaf holds several groups. Lines of a group have the same tokens at
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
-from .common import words_of
+from .common import let, words_of
 
 DEPTH = 4
 MIN_DOCS = 10
@@ -37,9 +38,15 @@ FIXED_SHARE = 0.5
 WILD = "<*>"
 
 
-def masked_tokens(line: Column) -> Column:
+def masked_tokens(line: Column, fixed_share: float = FIXED_SHARE) -> Column:
     # Word by word: a pattern over the line would try words without a digit from each of their characters.
-    return F.transform(words_of(line), lambda word: F.when(word.rlike("[0-9]"), WILD).otherwise(word))
+    mask = lambda words: F.transform(words, lambda word: F.when(word.rlike("[0-9]"), WILD).otherwise(word))
+    fields = lambda tokens: F.size(F.filter(tokens, lambda t: t == WILD))
+    chosen = let(
+        words_of(line),
+        lambda words: let(mask(words), lambda m: F.when(fields(m) > F.size(m) * F.lit(1 - fixed_share), words).otherwise(m)),
+    )
+    return F.when(line.rlike("[0-9]"), chosen).otherwise(words_of(line))
 
 
 def _keys(tokens: Column, depth: int) -> Column:
@@ -59,7 +66,7 @@ def _lines(docs: DataFrame, doc_id: str, text: str, depth: int, fixed_share: flo
     exploded = docs.select(_document(doc_id).alias("doc"), F.explode(F.split(F.col(text), "\n")).alias("raw"))
     # Tested on the line itself: a filter on tokens would move below them and make them twice.
     tokens = exploded.filter(F.col("raw").rlike(r"[^\x20\x09-\x0D]")).select(
-        "doc", masked_tokens(F.col("raw")).alias("tokens")
+        "doc", masked_tokens(F.col("raw"), fixed_share).alias("tokens")
     )
     return tokens.select("doc", _keys(F.col("tokens"), depth).alias("k"), "tokens").select("doc", "k.leaf", "k.line", "tokens")
 
@@ -165,7 +172,7 @@ def drop_lines(
     lines = F.split("text", "\n")
     kept = F.when(
         F.col("bad").isNotNull(),
-        F.filter(lines, lambda x: ~F.array_contains("bad", F.xxhash64(masked_tokens(x)))),
+        F.filter(lines, lambda x: ~F.array_contains("bad", F.xxhash64(masked_tokens(x, fixed_share)))),
     ).otherwise(lines)
     cleaned = joined.select("row", lines.alias("lines"), kept.alias("kept"))
     return cleaned.select(

@@ -201,6 +201,16 @@ def test_line_templates_of_a_crowded_leaf(spark):
     assert [got[i] for i in range(len(made))] == want
 
 
+def test_line_templates_keep_lines_that_only_begin_alike(spark):
+    rng = random.Random(2)
+    draw = lambda k: " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(k))
+    made = [f"it is known that {draw(4)}" for _ in range(10)]
+    made += [" ".join(str(rng.randrange(10**6)) for _ in range(6)) for _ in range(10)]
+    made += ["17 18 19"] * 10
+    got = dropped_lines(spark, made)
+    assert [got[i] for i in range(len(made))] == [0] * 20 + [1] * 10
+
+
 def test_simple8b():
     rng = np.random.default_rng(3)
     for n in (0, 1, 1023, 1024, 1025, 3000):

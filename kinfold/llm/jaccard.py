@@ -26,7 +26,7 @@ counted there and sent once, so a frequent n-gram brings one entry per batch to
 Defined results: null or empty text has an empty set and links with nothing, its component is its own id. A text
 shorter than n words is one n-gram. Repeated rows and rows of one class share a component. Rows without an id take part and
 get the smallest id of their component, null if it has none. An empty table gives an empty table. Only id and text are read;
-``first_of_groups`` returns all columns.
+``first_of_groups`` returns all columns and decides by row.
 """
 
 from __future__ import annotations
@@ -70,18 +70,24 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray, np.n
         yield i, grams, n, cid
 
 
+def _body(text: str) -> Column:
+    """Key of a row beside its id, which may be null or repeated."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def document_sets(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """``(doc_id, n, cid)``; equal sets have equal ``cid``."""
+    """``(doc_id, body, n, cid)``; equal sets have equal ``cid``, equal texts equal ``body``."""
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, _, n, cid in _sets(batch, k):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, len(n)), pa.array(n.astype(np.int64)), pa.array(cid)], names=["doc_id", "n", "cid"]
+                    [*(batch.column(c).slice(i, len(n)) for c in ("doc_id", "body")), pa.array(n.astype(np.int64)), pa.array(cid)],
+                    names=["doc_id", "body", "n", "cid"],
                 )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(summarise, "doc_id long, n long, cid long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _body(text).alias("body"), F.col(text).alias("text"))
+    return rows.mapInArrow(summarise, "doc_id long, body long, n long, cid long")
 
 
 def least_overlap(n: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
@@ -196,13 +202,13 @@ def _as_arrow(send):
 def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int, total: int) -> DataFrame:
     """Step 3: ``(cid, n, gram, df)`` rows, packed in arrays, of n-grams that two of the classes share, and their parity words.
 
-    ``ids`` has ``(doc_id, cid)``, one document of each class.
+    ``ids`` has ``(doc_id, body, cid)``, one document of each class.
     """
     # Not more: a class comes back once for each fragment it has n-grams in.
     fragments = total // FRAGMENT_TOKENS + 1
-    wanted = ids.select(F.col("doc_id").alias("_id"), F.col("cid").alias("_cid"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_id"))
+    wanted = ids.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("cid").alias("_cid"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _body(text).alias("body"), F.col(text).alias("text")).join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
     ).select("_cid", "text")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
@@ -330,14 +336,20 @@ def class_links(classes: DataFrame, similar: tuple[int, int]) -> DataFrame:
     return stars if stars is not None else entries.select(F.col("cid").alias("hi"), F.col("cid").alias("lo")).limit(0)
 
 
-def similar_components(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, similar: tuple[int, int] = SIMILAR
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, class_id, component_id."""
+def _first(*keys: str) -> Column:
+    """Smallest ``(doc_id, *keys)``, rows without an id last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *keys))
+
+
+def _components(docs: DataFrame, doc_id: str, text: str, k: int, similar: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """``document_sets`` and, for classes with n-grams, ``(cid, comp)``: the component, known by its smallest class id."""
     sets = store(document_sets(docs, doc_id, text, k), "jaccard-sets")
     total = sets.agg(F.sum("n")).first()[0] or 0
     near = store(promising_classes(docs, text, k, similar, total), "jaccard-near")
-    chosen = store(sets.join(near, "cid").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "jaccard-chosen")
+    chosen = store(
+        sets.join(near, "cid").groupBy("cid").agg(_first("body").alias("f"), F.max("n").alias("n")).select("cid", "f.doc_id", "f.body", "n"),
+        "jaccard-chosen",
+    )
     left = chosen.agg(F.sum("n")).first()[0] or 0
     grams = shared_grams(docs, chosen, doc_id, text, k, left)
     classes = store(
@@ -351,8 +363,17 @@ def similar_components(
         "jaccard-classes",
     )
     stars = class_links(classes, similar).select(F.col("hi").alias("cid"), "lo")
+    known = sets.filter("n > 0").select("cid").distinct()
+    return sets, store(known.join(stars, "cid", "left").select("cid", F.coalesce("lo", "cid").alias("comp")), "jaccard-comps")
+
+
+def similar_components(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, similar: tuple[int, int] = SIMILAR
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, class_id, component_id."""
+    sets, comps = _components(docs, doc_id, text, k, similar)
     by_class = sets.filter("n > 0").groupBy("cid").agg(F.min("doc_id").alias("first"))
-    grouped = store(by_class.join(stars, "cid", "left").select("cid", "first", F.coalesce("lo", "cid").alias("comp")), "jaccard-comps")
+    grouped = store(by_class.join(comps, "cid"), "jaccard-grouped")
     least = grouped.groupBy("comp").agg(F.min("first").alias("component_id"))
     named = store(grouped.join(least, "comp").select("cid", "component_id"), "jaccard-named")
     return sets.join(named, "cid", "left").select(
@@ -361,24 +382,26 @@ def similar_components(
     )
 
 
-def first_of_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that aren't a later member of a component: per component its smallest id stays.
+def first_of_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, similar: tuple[int, int] = SIMILAR
+) -> DataFrame:
+    """One row of ``docs`` per component, and all rows with null or empty text.
 
-    Of repeated rows with that id one stays; rows without an id stay.
+    The row with the smallest id stays; rows without an id come after all others. Of several such rows it is one with the smallest class id and
+    text hash, of equal texts the one with the smallest hash of its columns. Ids may repeat: rows count by id and text.
     """
-    found = similar_components(docs, doc_id, text, **options)
-    later = store(
-        found.filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select("doc_id").distinct(), "jaccard-later"
-    )
-    repeated = store(
-        found.filter(F.col("n_shingles") > 0).groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1 and doc_id is not null").select("doc_id"),
-        "jaccard-repeated",
+    sets, comps = _components(docs, doc_id, text, k, similar)
+    keys = store(sets.groupBy("doc_id", "body", "cid").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c")), "jaccard-keys")
+    firsts = keys.filter("n > 0").join(comps, "cid").groupBy("comp").agg(_first("cid", "body", "c").alias("f"))
+    empty = keys.filter("n = 0").select("doc_id", "body", F.lit(False).alias("_again"))
+    stay = store(firsts.select("f.doc_id", "f.body", (F.col("f.c") > 1).alias("_again")).unionByName(empty), "jaccard-stay")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    # Maps have no hash.
+    tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    whole = docs.select(
+        F.struct(*names).alias("row"), tie.alias("_tie"), F.col(doc_id).cast("long").alias("_id"), _body(text).alias("_body")
     )
-    names = docs.columns
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text"))
-    stay = whole.join(later.withColumnRenamed("doc_id", "_id"), "_id", "left_anti")
-    marked = stay.join(repeated.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_again")), "_id", "left")
-    # Only ids that occur twice are ranked.
-    once = marked.filter(F.col("_again").isNull())
-    ranked = marked.filter(F.col("_again")).withColumn("_r", F.row_number().over(Window.partitionBy("_id").orderBy(F.md5(F.coalesce("_text", F.lit(""))))))
-    return once.select("row.*").unionByName(ranked.filter("_r = 1").select("row.*"))
+    marked = whole.join(stay, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_body") == F.col("body"))).select("row", "_tie", "_id", "_body", "_again")
+    # Repeated rows meet in each input partition first.
+    one = marked.filter("_again").groupBy("_id", "_body").agg(F.min_by("row", "_tie").alias("row"))
+    return marked.filter("not _again").select("row.*").unionByName(one.select("row.*"))

@@ -93,6 +93,19 @@ def test_jaccard_first_of_groups(docs, rows, empty):
     assert jaccard.first_of_groups(empty).count() == 0
 
 
+def test_jaccard_first_of_groups_decides_by_row(spark):
+    rng = random.Random(3)
+    a, b, c, d, e, f = (" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)) for _ in range(6))
+    made = [(1, a), (2, a), (2, b), (3, c), (3, d), (None, e), (None, e), (None, e + " more"), (None, f), (4, f), (2, ""), (None, None), (5, c)]
+    frame = spark.createDataFrame([(i, t, "en", "a", k) for k, (i, t) in enumerate(made)], SCHEMA).repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in jaccard.first_of_groups(frame).collect()]
+    # Of the copies without an id one stays, whichever class it is of.
+    of_e = [g for g in got if g[0] is None and (g[1] or "").startswith(e)]
+    assert len(of_e) == 1
+    rest = [g for g in got if g not in of_e]
+    assert sorted(rest, key=repr) == sorted([(1, a), (2, b), (3, c), (3, d), (4, f), (2, ""), (None, None)], key=repr)
+
+
 def test_quality_counts(docs, rows, empty):
     got = {r["doc_id"]: r for r in quality.judge_quality(docs).collect()}
     for i, text, *_ in rows:

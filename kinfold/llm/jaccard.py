@@ -7,7 +7,7 @@ summed per pair.
 1. Documents with equal sets form a class, known by a 64-bit hash of the set; from here on classes are joined.
 2. Every class sends the first part of its sorted set to the fragments, packed. A fragment counts, per class, n-grams that
    another class has too. A class that lacks shared n-grams for any partner at the threshold is out. Most documents
-   end here, and their pairs with everything else are never looked at.
+   end here, and their pairs with everything else are never looked at. Thresholds below ``1 - TESTED`` skip this step.
 3. Classes left send whole sets. Fragments return n-grams shared by two classes or more with their document
    frequency; a class with too few of them is out. The rest, rarest n-grams first, is prefix-filtered: partners at the
    threshold share an n-gram of their prefixes.
@@ -345,7 +345,11 @@ def _components(docs: DataFrame, doc_id: str, text: str, k: int, similar: tuple[
     """``document_sets`` and, for classes with n-grams, ``(cid, comp)``: the component, known by its smallest class id."""
     sets = store(document_sets(docs, doc_id, text, k), "jaccard-sets")
     total = sets.agg(F.sum("n")).first()[0] or 0
-    near = store(promising_classes(docs, text, k, similar, total), "jaccard-near")
+    # The test of step 2 is exact only if partners at the threshold differ in less than the tested part.
+    tested = similar[0] / similar[1] >= 1 - TESTED
+    near = store(
+        promising_classes(docs, text, k, similar, total) if tested else sets.filter("n > 0").select("cid").distinct(), "jaccard-near"
+    )
     chosen = store(
         sets.join(near, "cid").groupBy("cid").agg(_first("body").alias("f"), F.max("n").alias("n")).select("cid", "f.doc_id", "f.body", "n"),
         "jaccard-chosen",

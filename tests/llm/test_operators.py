@@ -93,6 +93,19 @@ def test_jaccard_first_of_groups(docs, rows, empty):
     assert jaccard.first_of_groups(empty).count() == 0
 
 
+def test_jaccard_low_threshold(spark):
+    # Hashes of n-grams decide which come first, so many pairs: in some, none of the first quarter is shared.
+    rng = random.Random(4)
+    draw = lambda k: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(k)]
+    made = []
+    for _ in range(400):
+        both = draw(5)
+        made += [" ".join(both + draw(2)), " ".join(both + draw(2))]
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(made)]
+    got = jaccard.similar_components(spark.createDataFrame(rows, SCHEMA), k=1, similar=(1, 2)).select("doc_id", "n_shingles", "component_id")
+    assert sorted(tuple(r) for r in got.collect()) == [(i, 7, i - i % 2) for i in range(len(made))]
+
+
 def test_jaccard_first_of_groups_decides_by_row(spark):
     rng = random.Random(3)
     a, b, c, d, e, f = (" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)) for _ in range(6))

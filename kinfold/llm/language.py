@@ -4,8 +4,7 @@ A text is cut into windows of ``WINDOW`` bytes, all of it. In each window one ne
 backward; together they label every byte position, and the position probabilities of a document are averaged. Gates
 use clipped linear units instead of sigmoid and tanh, which cost a fraction of the time on a CPU. Training is backpropagation through
 time with Adam, in numpy, on a bounded sample: at most ``SAMPLE_DOCS`` documents per language, those with the smallest hash of their
-id, and of each at most ``DOC_WINDOWS`` windows spread over the whole text. Languages are the labels of the sample's table,
-at most ``MAX_LANGS`` by number of documents.
+id, and of each at most ``DOC_WINDOWS`` windows spread over the whole text. Languages are all labels of the sample's table.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0. Rows without an id are not held out and not learned from.
 Without any label everything is ``und``. Repeated rows get equal results. An empty table gives an empty table. Only id,
@@ -31,7 +30,6 @@ WINDOW = 64
 HIDDEN = 8
 SAMPLE_DOCS = 400
 DOC_WINDOWS = 8
-MAX_LANGS = 200
 STEPS = 500
 BATCH = 192
 RATE = 0.01
@@ -209,16 +207,15 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")
     )
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    langs = sorted(r["lang"] for r in counts)
+    counts = store(rows.groupBy("lang").count(), "lang-counts")
+    langs = sorted(r["lang"] for r in counts.collect())
     if not langs:
         return None
     # A sample of each language by hash: rate from its count, so that no group is gathered or sorted whole.
-    rates = {r["lang"]: SAMPLE_DOCS * 1.3 / r["count"] for r in counts}
-    rate = F.coalesce(*[F.when(F.col("lang") == k, F.lit(float(v))) for k, v in rates.items()])
+    rate = F.lit(SAMPLE_DOCS * 1.3) / F.col("count")
     unit = (F.pmod(F.xxhash64(F.lit("lang"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u")
-    near = rows.select("doc_id", "lang", unit).filter(F.col("u") < rate).distinct()
-    chosen = store(near.select("doc_id", F.col("lang").alias("label")), "lang-sample")
+    near = rows.join(counts, "lang").select("doc_id", "lang", "count", unit).filter(F.col("u") < rate).select("doc_id", "lang").distinct()
+    chosen = store(near.withColumnRenamed("lang", "label"), "lang-sample")
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -376,6 +376,13 @@ def test_language(spark, empty):
     assert language.identify_languages(empty).count() == 0
 
 
+def test_language_learns_all_labels(spark):
+    made = [(i, f"text number {i} of its language", f"l{i % 230}", None, None) for i in range(690)]
+    net = language.train(spark.createDataFrame(made, SCHEMA))
+    labels = {f"l{i % 230}" for i in range(690) if zlib.crc32(str(i).encode()) % 5}
+    assert len(labels) > 200 and set(net.langs) == labels
+
+
 def test_pipeline(spark, docs, empty, rows):
     sf = "/root/testdata/sf0.001"
     frame = docs.select("doc_id", "text", "lang", "source", "n_chars")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, lines, mixing, quality, suffixes, tokenfiles, toxicity, warc
+from . import decontaminate, jaccard, language, lines, mixing, quality, suffixes, tokenfiles, toxicity, transducer, warc
 from .sql import MIX_SQL, LEAK_SQL, LINES_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @register("op7_suffix_dedup")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf, "documents"), with_bytes=False)
+
+
+@register("op11_bpe_transducer")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return transducer.round_trips(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, lines, mixing, quality, suffixes, tokenfiles, toxicity, transducer, warc
-from .sql import MIX_SQL, LEAK_SQL, LINES_SQL
+from . import decontaminate, jaccard, language, lines, merkle, mixing, quality, suffixes, tokenfiles, toxicity, transducer, warc
+from .sql import LEAK_SQL, LINES_SQL, MERKLE_SQL, MIX_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,3 +93,8 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @register("op11_bpe_transducer")
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return transducer.round_trips(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@register("op12_merkle_manifest", MERKLE_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.audited(table(spark, sf, "documents")).drop("path")

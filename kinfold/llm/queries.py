@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, language, lines, merkle, mixing, quality, suffixes, tokenfiles, toxicity, transducer, warc
+from . import alignment, decontaminate, jaccard, language, lines, merkle, mixing, quality, suffixes, tokenfiles, toxicity, transducer, warc
 from .sql import LEAK_SQL, LINES_SQL, MERKLE_SQL, MIX_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,9 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
 @register("op12_merkle_manifest", MERKLE_SQL)
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.audited(table(spark, sf, "documents")).drop("path")
+
+
+@register("op13_align_tokenizers")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align_tokenizers(table(spark, sf, "documents"), *paths)

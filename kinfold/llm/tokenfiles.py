@@ -33,12 +33,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, store
+from .pieces import CUT, PLAIN
+from .transducer import byte_letters
 
 BLOCK = 1024
 SEGMENT_IDS = 1_000_000
 SHARD_BYTES = 16_000_000
 END_ID = 2
 CACHED_WORDS = 800_000
+CACHED_PIECES = 300_000
 WORDS_AT_ONCE = 5_000
 GROUP_CHARS = 4_000_000
 MAGIC = b"S8B1"
@@ -161,8 +164,9 @@ def segments(content: bytes) -> Iterator[tuple[int, int, list, np.ndarray, np.nd
 
 
 class WordEncoder:
-    """Ids of whole texts. The tokenizer splits at white space first, so each different word is encoded once
-    and texts are put together; texts that hold a special token are encoded whole."""
+    """Ids of whole texts. The tokenizer splits at white space first, so each different word is encoded once and texts are put
+    together. New plain words are cut as the tokenizer cuts them, and each different piece goes to its model once; other words go through all its
+    steps. Texts that hold a special token are encoded whole."""
 
     def __init__(self, path: str):
         import os
@@ -177,6 +181,9 @@ class WordEncoder:
         self.split = re.compile(r"[^ \t-\r]+").findall
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.model = self.tokenizer.model
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         at = 0
@@ -189,13 +196,29 @@ class WordEncoder:
                 at += 1
             yield from self._encode(group)
 
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            shown = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
+            found = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(shown)], np.uint32).tobytes()
+        return found
+
     def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if PLAIN(w)]
+        self.known.update((w, b"".join(map(self._piece, CUT.findall(w.lower())))) for w in plain)
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces = {}
+        if len(plain) < len(words):
+            self._learn_others([w for w in words if not PLAIN(w)])
+
+    def _learn_others(self, words: list[str]) -> None:
         """Encode words in one text, held apart by a special token, of which they are free."""
         if self.mark is None:
             found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
             self.known.update((w, np.array(x, np.uint32).tobytes()) for w, x in zip(words, found))
             return
-        ids = np.array(self.tokenizer.encode(f" {self.mark[0]} ".join(words), add_special_tokens=False).ids, np.uint32)
+        [found] = self.tokenizer.encode_batch_fast([f" {self.mark[0]} ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, np.uint32)
         ends = np.append(np.flatnonzero(ids == self.mark[1]), len(ids))
         packed, start = ids.tobytes(), 0
         for w, end in zip(words, (4 * ends).tolist()):
@@ -204,7 +227,8 @@ class WordEncoder:
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         whole = [any(s in text for s in self.special) for text in texts]
-        split = [[] if w else self.split(text) for w, text in zip(whole, texts)]
+        # Plain texts have no other white space than ASCII's, so the faster split agrees.
+        split = [[] if w else text.split() if PLAIN(text) else self.split(text) for w, text in zip(whole, texts)]
         if len(self.known) > CACHED_WORDS:
             # Words in use come back from the older half, the others go with it.
             self.older, self.known = self.known, {}

@@ -57,6 +57,8 @@ MORE_HUBS = 4
 # Pairs left per prefix entry from which on rounds with hubs pay.
 FEW_PAIRS = 1
 DOCS_AT_ONCE = 2_000
+ROWS_AT_ONCE = 200_000
+MOST_DF = 2**31 - 1
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -200,11 +202,10 @@ def _as_arrow(send):
 
 
 def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int, total: int) -> DataFrame:
-    """Step 3: ``(cid, n, gram, df)`` rows, packed in arrays, of n-grams that two of the classes share, and their parity words.
+    """Step 3: ``(cid, n, df, gram)`` rows of n-grams that two of the classes share.
 
     ``ids`` has ``(doc_id, body, cid)``, one document of each class.
     """
-    # Not more: a class comes back once for each fragment it has n-grams in.
     fragments = total // FRAGMENT_TOKENS + 1
     wanted = ids.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("cid").alias("_cid"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _body(text).alias("body"), F.col(text).alias("text")).join(
@@ -225,29 +226,58 @@ def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int
         grams, cids, sizes = _unpacked(group)
         own, df = _shared(grams, cids, sizes)
         hit = np.flatnonzero(own & (df > 1))
-        hit = hit[np.argsort(cids[hit], kind="stable")]
-        c = cids[hit]
-        cuts = np.flatnonzero(np.diff(c)) + 1
-        parts = np.split(hit, cuts) if len(hit) else []
         return pd.DataFrame(
-            {
-                "cid": [int(cids[p[0]]) for p in parts],
-                "n": [int(sizes[p[0]]) for p in parts],
-                "grams": [grams[p].view(np.int64) for p in parts],
-                "dfs": [df[p] for p in parts],
-                "words": [parity_words(grams[p]) for p in parts],
-            }
+            {"cid": cids[hit], "n": sizes[hit].astype(np.int32), "df": np.minimum(df[hit], MOST_DF).astype(np.int32), "gram": grams[hit].view(np.int64)}
         )
 
     sent = texts.mapInArrow(_as_arrow(send), PACKED)
-    return sent.groupBy("fragment").applyInPandas(keep, "cid long, n long, grams array<long>, dfs array<long>, words array<long>")
+    # One row per shared entry: rows grow with the input, whatever the number of fragments.
+    return sent.groupBy("fragment").applyInPandas(keep, "cid long, n int, df int, gram long")
 
 
-def parity_words(grams: np.ndarray) -> np.ndarray:
-    """Every n-gram flips one bit of ``SKETCH_WORDS`` words."""
-    words = np.zeros(SKETCH_WORDS, np.uint64)
+def class_rows(shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """Shared entries put together: ``(cid, n, order, w0, w1, ...)`` of classes with enough of them for a link."""
+    words = [f"w{i}" for i in range(SKETCH_WORDS)]
+    names = ["cid", "n", "dfs", "grams", *words]
+
+    def rows(cid: np.ndarray, n: np.ndarray, df: np.ndarray, gram: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.concatenate([[True], cid[1:] != cid[:-1]]))
+        size = np.diff(np.append(first, len(cid)))
+        enough = size * similar[1] >= n[first] * similar[0]
+        use = np.repeat(enough, size)
+        first, size, n, df, gram, cid = first[enough], size[enough], n[first[enough]], df[use], gram[use], cid[first[enough]]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+        parity = parity_words(gram, np.repeat(np.arange(len(size)), size), len(size))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (df, gram)]
+        return pa.RecordBatch.from_arrays([pa.array(cid), pa.array(n), *lists, *map(pa.array, parity.T.copy())], names=names)
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("cid", "n", "df", "gram")])
+            if sum(len(h[0]) for h in held) < ROWS_AT_ONCE:
+                continue
+            columns = [np.concatenate(c) for c in zip(*held)]
+            # The last class may go on.
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            held = [[c[cut:] for c in columns]]
+            if cut:
+                yield rows(*[c[:cut] for c in columns])
+        if held:
+            yield rows(*[np.concatenate(c) for c in zip(*held)])
+
+    # Rarest first within a class.
+    ordered = shared.repartition("cid").sortWithinPartitions("cid", "df", "gram")
+    kinds = "cid long, n int, dfs array<int>, grams array<long>, " + ", ".join(f"{w} long" for w in words)
+    order = F.arrays_zip(F.col("dfs").alias("df"), F.col("grams").alias("gram"))
+    return ordered.mapInArrow(together, kinds).select("cid", F.col("n").cast("long").alias("n"), order.alias("order"), *words)
+
+
+def parity_words(grams: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Every n-gram flips one bit of its owner's ``SKETCH_WORDS`` words."""
+    words = np.zeros((n, SKETCH_WORDS), np.uint64)
     h = mix(grams.astype(np.uint64))
-    np.bitwise_xor.at(words, (h >> np.uint64(6)) % np.uint64(SKETCH_WORDS), np.uint64(1) << (h & np.uint64(63)))
+    np.bitwise_xor.at(words, (owner, ((h >> np.uint64(6)) % np.uint64(SKETCH_WORDS)).astype(np.int64)), np.uint64(1) << (h & np.uint64(63)))
     return words.view(np.int64)
 
 
@@ -356,16 +386,7 @@ def _components(docs: DataFrame, doc_id: str, text: str, k: int, similar: tuple[
     )
     left = chosen.agg(F.sum("n")).first()[0] or 0
     grams = shared_grams(docs, chosen, doc_id, text, k, left)
-    classes = store(
-        grams.groupBy("cid", "n")
-        .agg(
-            F.flatten(F.collect_list(F.arrays_zip(F.col("dfs").alias("df"), F.col("grams").alias("gram")))).alias("order"),
-            *[F.bit_xor(F.get("words", F.lit(i))).alias(f"w{i}") for i in range(SKETCH_WORDS)],
-        )
-        .filter(F.size("order") * similar[1] >= F.col("n") * similar[0])
-        .select("cid", "n", F.array_sort("order").alias("order"), *[f"w{i}" for i in range(SKETCH_WORDS)]),
-        "jaccard-classes",
-    )
+    classes = store(class_rows(grams, similar), "jaccard-classes")
     stars = class_links(classes, similar).select(F.col("hi").alias("cid"), "lo")
     known = sets.filter("n > 0").select("cid").distinct()
     return sets, store(known.join(stars, "cid", "left").select("cid", F.coalesce("lo", "cid").alias("comp")), "jaccard-comps")

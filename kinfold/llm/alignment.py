@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 import uuid
@@ -44,17 +45,21 @@ BUCKETS = 256
 FAN = 16
 TABLE_BYTES = 256_000_000
 GROUP_CHARS = 2_000_000
-CACHED_SEGMENTS = 400_000
-CACHED_CHARS = 60_000_000
+CACHED_SEGMENTS = 600_000
+CACHED_TOKENS = 6_000_000
 SEGMENTS_AT_ONCE = 20_000
+LINES_AT_ONCE = 500
 PAIRS_HELD = 4_000_000
 #: Free places per key and level of the hash.
 GAMMA = 1.6
 # Letters and other characters of plain texts, and the segments in them.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 PLAIN = re.compile(rf"[\n -~{LETTERS}«»–—‘’“”…¿¡]*").fullmatch
+# How A's own pattern cuts plain segments.
+WORD_A = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 SEGMENT = re.compile(rf"\s{{2,}}\S*| ?[{LETTERS}]++(?!')| ?[^\s'{LETTERS}]++(?!')| ?\S+|\s")
 # End of fixed values.
+MARK = "\x01"
 
 
 class PerfectHash:
@@ -163,8 +168,46 @@ class Counted:
         return np.where(missing, 0, self.counts[at]), self.best[at] & ~missing, missing
 
 
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.all, self.n = np.empty(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.all):
+            self.all = np.resize(self.all, 2 * (self.n + len(more)))
+        self.all[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+    @property
+    def now(self) -> np.ndarray:
+        return self.all[: self.n]
+
+
+class Known(dict):
+    """Number of each segment; asking for a new one gives it the next number and puts it on the list to be aligned."""
+
+    def __init__(self, first: int):
+        self.first, self.new = first, []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = number = self.first + len(self.new)
+        self.new.append(key)
+        return number
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places ``start, start + 1, ...`` of all spans, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 class Aligner:
-    """Aligned segments of both tokenizers; what a segment brings to its document is kept by number."""
+    """Aligned segments of both tokenizers; what a segment brings to its document is kept by number.
+
+    Plain texts with single spaces and line ends are cut before each of these; others by ``SEGMENT``. A segment's key is its text without
+    a leading space, or the text itself if it starts with a line end, or else the text behind ``MARK``.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -173,8 +216,10 @@ class Aligner:
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        self.model_a = self.a.model
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        value = {c: b for b, c in enumerate(byte_letters())}
+        self.letters = byte_letters()
+        value = {c: b for b, c in enumerate(self.letters)}
         names = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
         self.bytes_a = [bytes(value[c] for c in names[i]) if all(c in value for c in names.get(i, " ")) else b"" for i in range(max(names) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
@@ -184,7 +229,7 @@ class Aligner:
         ]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.base = len(pieces)
-        self.line_a, self.line_b = self.a.token_to_id(byte_letters()[10]), self.b.piece_to_id("<0x0A>")
+        self.line_b = self.b.piece_to_id("<0x0A>")
         self.names = [str(i) for i in range(max(len(self.bytes_a), len(pieces)))]
         letter = re.compile(f"[{LETTERS}]").match
 
@@ -196,107 +241,159 @@ class Aligner:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.n_a, self.n_b, self.n_groups, self.n_links = ([] for _ in range(4))
+        self.known = Known(0)
+        self.words: dict[str, tuple[int, ...]] = {}
+        # Per entry: tokens, groups, links, whether the bytes agree, first token and link.
+        self.n_a, self.n_b, self.n_groups, self.n_links, self.good, self.at_a, self.at_b, self.at_link = (Grown(np.int64) for _ in range(8))
+        # Tokens of all entries, whether a group ends after a token, and links.
+        self.ids_a, self.ids_b, self.ends_a, self.ends_b, self.links = (Grown(np.int64) for _ in range(5))
         self.groups: list[str] = []
-        self.links: list[np.ndarray] = []
-        self.chars = 0
         self.counted: tuple[str, int, list[np.ndarray]] | None = None
 
+    @property
+    def n(self) -> int:
+        return self.n_a.n
+
     def _align(self, ids_a: np.ndarray, ids_b: np.ndarray, own_a: np.ndarray, own_b: np.ndarray, n: int) -> None:
         """Append ``n`` entries: tokens of consecutive texts whose bytes agree, with the number of the text of each."""
         end_a, end_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
         start_a, start_b = end_a - self.size_a[ids_a], end_b - self.size_b[ids_b]
-        common = np.intersect1d(end_a, end_b, assume_unique=True)
-        cut_a, cut_b = np.searchsorted(end_a, common) + 1, np.searchsorted(end_b, common) + 1
+        at = np.searchsorted(end_b, end_a)
+        cut_a = end_b[np.minimum(at, len(end_b) - 1)] == end_a if len(end_b) else np.zeros(len(end_a), bool)
+        cut_b = np.zeros(len(end_b), bool)
+        cut_b[at[cut_a]] = True
         first = np.searchsorted(end_b, start_a, "right")
         many = np.searchsorted(start_b, end_a, "left") - first
-        which = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        keys = np.repeat(ids_a, many) * self.base + ids_b[which]
-        n_links = np.bincount(np.repeat(own_a, many), minlength=n)
-        n_groups = np.bincount(own_a[cut_a - 1], minlength=n)
-        text_a, text_b = [self.names[i] for i in ids_a.tolist()], [self.names[i] for i in ids_b.tolist()]
-        parts, p, q = [], 0, 0
-        for x, y in zip(cut_a.tolist(), cut_b.tolist()):
-            parts.append(f"{','.join(text_a[p:x])}|{','.join(text_b[q:y])}")
-            p, q = x, y
-        g = 0
-        for k in n_groups.tolist():
-            self.groups.append(";".join(parts[g : g + k]))
-            g += k
-        self.chars += sum(map(len, parts)) + 3 * len(keys)
-        ends = np.cumsum(n_links)
-        self.links += [keys[e - k : e] for e, k in zip(ends.tolist(), n_links.tolist())]
-        self.n_links += n_links.tolist()
-        self.n_groups += n_groups.tolist()
-        self.n_a += np.bincount(own_a, minlength=n).tolist()
-        self.n_b += np.bincount(own_b, minlength=n).tolist()
-
-    def _learn(self, wanted: set[str]) -> None:
-        new = list(wanted.difference(self.known))
-        # Segments with a line end can't be held apart by line ends.
-        alone = [s for s in new if s.find(" ", 1) >= 0 or "\n" in s]
-        held = set(alone)
-        joint = [s for s in new if s not in held]
-        for i in range(0, len(joint), SEGMENTS_AT_ONCE):
-            some = joint[i : i + SEGMENTS_AT_ONCE]
-            text = "\n".join(some)
-            ids_a = np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
-            ids_b = np.array(self.b.encode("\n" + text), np.int64)
+        keys = np.repeat(ids_a, many) * self.base + ids_b[_spans(first, many)]
+        n_a, n_b, n_links = np.bincount(own_a, minlength=n), np.bincount(own_b, minlength=n), np.bincount(np.repeat(own_a, many), minlength=n)
+        for total, part, size in ((self.at_a, self.ids_a, n_a), (self.at_b, self.ids_b, n_b), (self.at_link, self.links, n_links)):
+            total.add(part.n + np.cumsum(size) - size)
+        for column, more in (
+            (self.n_a, n_a), (self.n_b, n_b), (self.n_links, n_links), (self.n_groups, np.bincount(own_a[cut_a], minlength=n)),
+            (self.good, np.ones(n)), (self.ids_a, ids_a), (self.ids_b, ids_b), (self.ends_a, cut_a), (self.ends_b, cut_b), (self.links, keys),
+        ):
+            column.add(more)
+
+    def _add_bad(self) -> None:
+        for column in (self.n_a, self.n_b, self.n_links, self.n_groups, self.good):
+            column.add(np.zeros(1))
+        for total, part in ((self.at_a, self.ids_a), (self.at_b, self.ids_b), (self.at_link, self.links)):
+            total.add(np.array([part.n]))
+
+    def _word_a(self, word: str) -> tuple[int, ...]:
+        found = self.words.get(word)
+        if found is None:
+            if word.isascii() and "\n" not in word:
+                # Printable ASCII stands for itself, only the space doesn't.
+                shown = self.letters[32] + word[1:] if word[0] == " " else word
+            else:
+                shown = "".join([self.letters[b] for b in word.encode()])
+            found = self.words[word] = tuple([t.id for t in self.model_a.tokenize(shown)])
+        return found
+
+    def _learn(self) -> None:
+        """Align the segments that got numbers since."""
+        new, self.known.new = self.known.new, []
+        self.known.first += len(new)
+        texts = [k if k[:1] == "\n" else k[1:] if k[:1] == MARK else " " + k for k in new]
+        for i in range(0, len(texts), SEGMENTS_AT_ONCE):
+            some = texts[i : i + SEGMENTS_AT_ONCE]
+            # B gets the segments on lines of their own; one that starts with a line end gives it to its line.
+            lead = np.array([t[0] == "\n" for t in some])
+            bodies = [t[1:] if t[0] == "\n" else t for t in some]
+            ids_b = [self.b.encode("\n" + "\n".join(bodies[j : j + LINES_AT_ONCE])) for j in range(0, len(bodies), LINES_AT_ONCE)]
             # B starts with the space it adds.
-            ids_b = ids_b[np.flatnonzero(ids_b == self.line_b)[0] + 1 :]
-            between_a, between_b = ids_a == self.line_a, ids_b == self.line_b
-            own_a, own_b = np.cumsum(between_a)[~between_a], np.cumsum(between_b)[~between_b]
-            ids_a, ids_b = ids_a[~between_a], ids_b[~between_b]
-            raw = "".join(some).encode()
-            if b"".join([self.bytes_a[t] for t in ids_a]) != raw or b"".join([self.bytes_b[t] for t in ids_b]) != raw:
-                alone += some
+            ids_b = np.concatenate([np.array(x[x.index(self.line_b) :], np.int64) for x in ids_b])
+            line = ids_b == self.line_b
+            plain = line.sum() == len(some) and all(b and b.find(" ", 1) < 0 for b in bodies)
+            if plain:
+                own_b = np.cumsum(line) - 1
+                stay = ~line | lead[own_b]
+                ids_b, own_b = ids_b[stay], own_b[stay]
+                words = [[x for w in WORD_A.findall(t) for x in self._word_a(w)] for t in some]
+                sizes = np.array([len(w) for w in words])
+                ids_a = np.fromiter(itertools.chain.from_iterable(words), np.int64, sizes.sum())
+                raw = "".join(some).encode()
+                plain = b"".join([self.bytes_a[t] for t in ids_a.tolist()]) == raw and b"".join([self.bytes_b[t] for t in ids_b.tolist()]) == raw
+            if plain:
+                self._align(ids_a, ids_b, np.repeat(np.arange(len(some)), sizes), own_b, len(some))
                 continue
-            first = len(self.groups)
-            self._align(ids_a, ids_b, own_a, own_b, len(some))
-            self.known.update(zip(some, range(first, first + len(some))))
-        for s in alone:
-            after = self.b.encode("\n" + s)
-            self.known[s] = self._one(self.a.encode(s, add_special_tokens=False).ids, after[after.index(self.line_b) + 1 :], s)
-
-    def _one(self, ids_a: list[int], ids_b: list[int], text: str) -> int:
-        """Number of an entry for one text, -1 where the bytes differ."""
-        raw = text.encode("utf-8", "surrogatepass")
+            for t in some:
+                after = self.b.encode("\n" + t)
+                self._one(self.a.encode(t, add_special_tokens=False).ids, after[after.index(self.line_b) + 1 :], t)
+        if len(self.words) > CACHED_SEGMENTS:
+            self.words = {}
+
+    def _one(self, ids_a: list[int], ids_b: list[int], text: str) -> None:
+        """An entry for one text, a bad one where the bytes differ."""
+        raw = text.encode()
         if b"".join([self.bytes_a[t] for t in ids_a]) != raw or b"".join([self.bytes_b[t] for t in ids_b]) != raw:
-            return -1
+            self._add_bad()
+            return
         a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         self._align(a, b, np.zeros(len(a), np.int64), np.zeros(len(b), np.int64), 1)
-        return len(self.groups) - 1
 
-    def entries(self, texts: list[str]) -> list[list[int]]:
-        """Entry numbers of each text; none for texts without tokens."""
-        if len(self.groups) > CACHED_SEGMENTS or self.chars > CACHED_CHARS:
+    def entries(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Entry numbers of all texts, and how many each has; none for texts without tokens."""
+        if self.n > CACHED_SEGMENTS or self.ids_a.n > CACHED_TOKENS:
             self.clear()
-        cut = [SEGMENT.findall(" " + t) if t and self.separable and PLAIN(t) else None for t in texts]
-        self._learn(set().union(*[c for c in cut if c]))
-        out = []
-        for text, segments in zip(texts, cut):
-            found = list(map(self.known.__getitem__, segments)) if segments else [-1] if text else []
-            if -1 in found:
+        get = self.known.__getitem__
+        found: list[list[int] | None] = []
+        for t in texts:
+            if not t:
+                found.append([])
+            elif not (self.separable and PLAIN(t)):
+                found.append(None)
+            elif "  " in t or "\n " in t or " \n" in t or "\n\n" in t or t[0] in " \n" or t[-1] in " \n":
+                keys = [s[1:] if s[0] == " " and s[1:2] != "\n" else s if s[0] == "\n" else MARK + s for s in SEGMENT.findall(" " + t)]
+                found.append(list(map(get, keys)))
+            else:
+                found.append(list(map(get, t.replace("\n", " \n").split(" "))))
+        self._learn()
+        bad = set(np.flatnonzero(self.good.now == 0).tolist())
+        for i, f in enumerate(found):
+            if f is None or bad and not bad.isdisjoint(f):
                 # Not plain, or not given back segment by segment.
-                whole = self._one(self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text), " " + text)
-                found = [whole] if whole >= 0 else []
-            out.append(found)
-        return out
+                self._one(self.a.encode(" " + texts[i], add_special_tokens=False).ids, self.b.encode(texts[i]), " " + texts[i])
+                self.known.first = self.n
+                found[i] = [self.n - 1] if self.good.now[-1] else []
+        sizes = np.array([len(f) for f in found], np.int64)
+        return np.fromiter(itertools.chain.from_iterable(found), np.int64, sizes.sum()), sizes
+
+    def group_texts(self) -> list[str]:
+        """Per entry its groups as text, made when first asked for."""
+        done = len(self.groups)
+        if done < self.n:
+            p, q = int(self.at_a.now[done]), int(self.at_b.now[done])
+            text_a, text_b = ([self.names[i] for i in ids.now[x:].tolist()] for ids, x in ((self.ids_a, p), (self.ids_b, q)))
+            cuts = zip((np.flatnonzero(self.ends_a.now[p:]) + 1).tolist(), (np.flatnonzero(self.ends_b.now[q:]) + 1).tolist())
+            parts, x, y = [], 0, 0
+            for i, j in cuts:
+                parts.append(f"{','.join(text_a[x:i])}|{','.join(text_b[y:j])}")
+                x, y = i, j
+            at = 0
+            for k in self.n_groups.now[done:].tolist():
+                self.groups.append(parts[at] if k == 1 else ";".join(parts[at : at + k]))
+                at += k
+        return self.groups
+
+    def links_of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links of the entries one after the other, and how many each has."""
+        sizes = self.n_links.now[entries]
+        return self.links.now[_spans(self.at_link.now[entries], sizes)], sizes
 
     def values(self, table: Counted) -> list[np.ndarray]:
         """Per entry: sum of the counts of its links, links with the best count, links whose pair is missing."""
         name, done, found = self.counted or ("", 0, [])
-        if name != table.name:
+        if name != table.name or done > self.n:
             done, found = 0, [np.zeros(0, np.int64)] * 3
-        if done < len(self.links):
-            columns = table.of(np.concatenate([np.zeros(0, np.int64), *self.links[done:]]))
-            own = np.repeat(np.arange(len(self.links) - done), self.n_links[done:])
+        if done < self.n:
+            keys, sizes = self.links_of(np.arange(done, self.n))
+            own = np.repeat(np.arange(self.n - done), sizes)
             # Sums of integers as floats are exact below 2^53.
-            new = [np.bincount(own, c, len(self.links) - done).astype(np.int64) for c in columns]
+            new = [np.bincount(own, c, self.n - done).astype(np.int64) for c in table.of(keys)]
             found = [np.concatenate(x) for x in zip(found, new)]
-        # Counts, best, missing in the order of ``Counted.of``.
-        self.counted = (table.name, len(self.links), found)
+        self.counted = (table.name, self.n, found)
         return found
 
 
@@ -317,18 +414,24 @@ def _grouped(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def _document_pairs(aligner: Aligner, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """``(document, key)``, each once."""
-    sizes = np.array([len(f) for f in found], np.int64)
-    entry = np.fromiter((e for f in found for e in f), np.int64, sizes.sum())
-    n = max(len(aligner.links), 1)
-    once = np.unique(np.repeat(np.arange(len(found)), sizes) * n + entry)
-    document, entry = once // n, once % n
-    keys = np.concatenate([np.zeros(0, np.int64), *[aligner.links[e] for e in entry.tolist()]])
-    owner = np.repeat(document, np.array(aligner.n_links, np.int64)[entry] if len(entry) else 0)
-    span = len(aligner.bytes_a) * aligner.base
-    both = np.unique(owner * span + keys)
-    return both // span, both % span
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted and once; sorting beats the hashing of ``np.unique`` here."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
+def _pair_counts(aligner: Aligner, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs and the number of the texts that hold each."""
+    entry, sizes = aligner.entries(texts)
+    n, span = max(aligner.n, 1), len(aligner.bytes_a) * aligner.base
+    once = _distinct(np.repeat(np.arange(len(texts)), sizes) * n + entry)
+    keys, many = aligner.links_of(once % n)
+    both = _distinct(np.repeat(once // n, many) * span + keys)
+    keys = np.sort(both % span)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
 PARTIAL = "bucket int, node long, keys binary, counts binary"
@@ -357,8 +460,7 @@ def partial_counts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for batch in batches:
             column = batch.column("text").to_pylist()
             for x, y in _grouped(column):
-                _, keys = _document_pairs(aligner, aligner.entries(column[x:y]))
-                some, counts = np.unique(keys, return_counts=True)
+                some, counts = _pair_counts(aligner, column[x:y])
                 held_keys, inverse = np.unique(np.concatenate([held_keys, some]), return_inverse=True)
                 held_counts = np.bincount(inverse, np.concatenate([held_counts, counts]), len(held_keys)).astype(np.int64)
                 if len(held_keys) > PAIRS_HELD:
@@ -461,19 +563,20 @@ def align_tokenizers(
     size = counted.agg(F.sum(F.octet_length("hash") + F.octet_length("keys") + F.octet_length("counts"))).first()[0] or 0
     names = [f.split(" ")[0] for f in RESULT.split(", ")]
 
-    def numbers(aligner: Aligner, column: list[str]) -> Iterator[tuple[int, int, list[list[int]], list[np.ndarray], list[str]]]:
+    def numbers(aligner: Aligner, column: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Callable, list[str]]]:
         for x, y in _grouped(column):
-            found = aligner.entries(column[x:y])
-            sizes = np.array([len(f) for f in found], np.int64)
-            flat = np.fromiter((e for f in found for e in f), np.int64, sizes.sum())
-            ends = np.cumsum(sizes)
+            flat, sizes = aligner.entries(column[x:y])
+            ends, groups, listed = np.cumsum(sizes), aligner.group_texts(), flat.tolist()
 
             def per_document(values, flat=flat, ends=ends, sizes=sizes) -> np.ndarray:
-                run = np.concatenate([[0], np.cumsum(np.asarray(values, np.int64)[flat])]) if len(flat) else np.zeros(1, np.int64)
+                run = np.concatenate([[0], np.cumsum(values[flat])])
                 return run[ends] - run[ends - sizes]
 
-            digests = [hashlib.sha256(";".join([aligner.groups[e] for e in f]).encode()).hexdigest() if f else "" for f in found]
-            yield x, y, found, per_document, digests
+            digests = []
+            for end, k in zip(ends.tolist(), sizes.tolist()):
+                text = ";".join(map(groups.__getitem__, listed[end - k : end]))
+                digests.append(hashlib.sha256(text.encode()).hexdigest() if k else "")
+            yield x, y, flat, sizes, per_document, digests
 
     if size <= table_bytes:
         sent = spark.sparkContext.broadcast(Counted([tuple(r) for r in counted.collect()], base))
@@ -481,11 +584,11 @@ def align_tokenizers(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner, table = aligner_of(path_a, path_b), sent.value
             for batch in batches:
-                for x, y, _, per, digests in numbers(aligner, batch.column("text").to_pylist()):
+                for x, y, _, _, per, digests in numbers(aligner, batch.column("text").to_pylist()):
                     sums, best, missing = aligner.values(table)
                     if per(missing).any():
                         raise ValueError("a document's pair isn't in the table")
-                    kinds = [aligner.n_a, aligner.n_b, aligner.n_groups, aligner.n_links, best, sums]
+                    kinds = [*(c.now for c in (aligner.n_a, aligner.n_b, aligner.n_groups, aligner.n_links)), best, sums]
                     columns = [pa.array(per(k), pa.int64()) for k in kinds]
                     ids = batch.column("doc_id").slice(x, y - x)
                     yield pa.RecordBatch.from_arrays([ids, *columns, pa.array(digests, pa.string())], names=names)
@@ -495,9 +598,9 @@ def align_tokenizers(
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_of(path_a, path_b)
         for batch in batches:
-            for x, y, found, per, digests in numbers(aligner, batch.column("text").to_pylist()):
-                columns = [pa.array(per(k), pa.int64()) for k in (aligner.n_a, aligner.n_b, aligner.n_groups, aligner.n_links)]
-                made = [np.unique(np.concatenate([np.zeros(0, np.int64), *[aligner.links[e] for e in f]]), return_counts=True) for f in found]
+            for x, y, flat, sizes, per, digests in numbers(aligner, batch.column("text").to_pylist()):
+                columns = [pa.array(per(k.now), pa.int64()) for k in (aligner.n_a, aligner.n_b, aligner.n_groups, aligner.n_links)]
+                made = [np.unique(aligner.links_of(f)[0], return_counts=True) for f in np.split(flat, np.cumsum(sizes)[:-1])]
                 arrays = [pa.array([m[i] for m in made], pa.list_(pa.int64())) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row").slice(x, y - x), batch.column("doc_id").slice(x, y - x), *columns, pa.array(digests, pa.string()), *arrays],

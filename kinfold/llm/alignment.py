@@ -45,8 +45,10 @@ BUCKETS = 256
 FAN = 16
 TABLE_BYTES = 256_000_000
 GROUP_CHARS = 2_000_000
-CACHED_SEGMENTS = 600_000
-CACHED_TOKENS = 6_000_000
+CACHED_SEGMENTS = 350_000
+CACHED_TOKENS = 4_000_000
+CACHED_WORDS = 150_000
+DOCS_AT_ONCE = 400
 SEGMENTS_AT_ONCE = 20_000
 LINES_AT_ONCE = 500
 PAIRS_HELD = 4_000_000
@@ -176,7 +178,9 @@ class Grown:
 
     def add(self, more: np.ndarray) -> None:
         if self.n + len(more) > len(self.all):
-            self.all = np.resize(self.all, 2 * (self.n + len(more)))
+            larger = np.empty((self.n + len(more)) * 5 // 4, self.all.dtype)
+            larger[: self.n] = self.now
+            self.all = larger
         self.all[self.n : self.n + len(more)] = more
         self.n += len(more)
 
@@ -244,9 +248,11 @@ class Aligner:
         self.known = Known(0)
         self.words: dict[str, tuple[int, ...]] = {}
         # Per entry: tokens, groups, links, whether the bytes agree, first token and link.
-        self.n_a, self.n_b, self.n_groups, self.n_links, self.good, self.at_a, self.at_b, self.at_link = (Grown(np.int64) for _ in range(8))
+        self.n_a, self.n_b, self.n_groups, self.n_links = (Grown(np.int32) for _ in range(4))
+        self.good, self.at_a, self.at_b, self.at_link = Grown(bool), Grown(np.int64), Grown(np.int64), Grown(np.int64)
         # Tokens of all entries, whether a group ends after a token, and links.
-        self.ids_a, self.ids_b, self.ends_a, self.ends_b, self.links = (Grown(np.int64) for _ in range(5))
+        self.ids_a, self.ids_b, self.ends_a, self.ends_b = Grown(np.int32), Grown(np.int32), Grown(bool), Grown(bool)
+        self.links = Grown(np.int32 if len(self.bytes_a) * self.base < 2**31 else np.int64)
         self.groups: list[str] = []
         self.counted: tuple[str, int, list[np.ndarray]] | None = None
 
@@ -321,7 +327,7 @@ class Aligner:
             for t in some:
                 after = self.b.encode("\n" + t)
                 self._one(self.a.encode(t, add_special_tokens=False).ids, after[after.index(self.line_b) + 1 :], t)
-        if len(self.words) > CACHED_SEGMENTS:
+        if len(self.words) > CACHED_WORDS:
             self.words = {}
 
     def _one(self, ids_a: list[int], ids_b: list[int], text: str) -> None:
@@ -380,7 +386,7 @@ class Aligner:
     def links_of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Links of the entries one after the other, and how many each has."""
         sizes = self.n_links.now[entries]
-        return self.links.now[_spans(self.at_link.now[entries], sizes)], sizes
+        return self.links.now[_spans(self.at_link.now[entries], sizes)].astype(np.int64), sizes
 
     def values(self, table: Counted) -> list[np.ndarray]:
         """Per entry: sum of the counts of its links, links with the best count, links whose pair is missing."""
@@ -403,15 +409,15 @@ def aligner_of(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _grouped(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start, chars = 0, 0
-    for i, t in enumerate(texts):
-        chars += len(t)
-        if chars >= GROUP_CHARS:
-            yield start, i + 1
-            start, chars = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _grouped(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """First row and texts of some documents at a time."""
+    for i in range(0, len(column), DOCS_AT_ONCE):
+        texts, start, chars = column.slice(i, DOCS_AT_ONCE).to_pylist(), 0, 0
+        for j, t in enumerate(texts):
+            chars += len(t)
+            if chars >= GROUP_CHARS or j == len(texts) - 1:
+                yield i + start, texts[start : j + 1]
+                start, chars = j + 1, 0
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
@@ -458,9 +464,8 @@ def partial_counts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
             )
 
         for batch in batches:
-            column = batch.column("text").to_pylist()
-            for x, y in _grouped(column):
-                some, counts = _pair_counts(aligner, column[x:y])
+            for _, texts in _grouped(batch.column("text")):
+                some, counts = _pair_counts(aligner, texts)
                 held_keys, inverse = np.unique(np.concatenate([held_keys, some]), return_inverse=True)
                 held_counts = np.bincount(inverse, np.concatenate([held_counts, counts]), len(held_keys)).astype(np.int64)
                 if len(held_keys) > PAIRS_HELD:
@@ -563,9 +568,9 @@ def align_tokenizers(
     size = counted.agg(F.sum(F.octet_length("hash") + F.octet_length("keys") + F.octet_length("counts"))).first()[0] or 0
     names = [f.split(" ")[0] for f in RESULT.split(", ")]
 
-    def numbers(aligner: Aligner, column: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Callable, list[str]]]:
-        for x, y in _grouped(column):
-            flat, sizes = aligner.entries(column[x:y])
+    def numbers(aligner: Aligner, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Callable, list[str]]]:
+        for x, texts in _grouped(column):
+            flat, sizes = aligner.entries(texts)
             ends, groups, listed = np.cumsum(sizes), aligner.group_texts(), flat.tolist()
 
             def per_document(values, flat=flat, ends=ends, sizes=sizes) -> np.ndarray:
@@ -576,7 +581,7 @@ def align_tokenizers(
             for end, k in zip(ends.tolist(), sizes.tolist()):
                 text = ";".join(map(groups.__getitem__, listed[end - k : end]))
                 digests.append(hashlib.sha256(text.encode()).hexdigest() if k else "")
-            yield x, y, flat, sizes, per_document, digests
+            yield x, len(texts), flat, sizes, per_document, digests
 
     if size <= table_bytes:
         sent = spark.sparkContext.broadcast(Counted([tuple(r) for r in counted.collect()], base))
@@ -584,13 +589,13 @@ def align_tokenizers(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner, table = aligner_of(path_a, path_b), sent.value
             for batch in batches:
-                for x, y, _, _, per, digests in numbers(aligner, batch.column("text").to_pylist()):
+                for x, n, _, _, per, digests in numbers(aligner, batch.column("text")):
                     sums, best, missing = aligner.values(table)
                     if per(missing).any():
                         raise ValueError("a document's pair isn't in the table")
                     kinds = [*(c.now for c in (aligner.n_a, aligner.n_b, aligner.n_groups, aligner.n_links)), best, sums]
                     columns = [pa.array(per(k), pa.int64()) for k in kinds]
-                    ids = batch.column("doc_id").slice(x, y - x)
+                    ids = batch.column("doc_id").slice(x, n)
                     yield pa.RecordBatch.from_arrays([ids, *columns, pa.array(digests, pa.string())], names=names)
 
         return rows.mapInArrow(run, RESULT)
@@ -598,12 +603,12 @@ def align_tokenizers(
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_of(path_a, path_b)
         for batch in batches:
-            for x, y, flat, sizes, per, digests in numbers(aligner, batch.column("text").to_pylist()):
+            for x, n, flat, sizes, per, digests in numbers(aligner, batch.column("text")):
                 columns = [pa.array(per(k.now), pa.int64()) for k in (aligner.n_a, aligner.n_b, aligner.n_groups, aligner.n_links)]
                 made = [np.unique(aligner.links_of(f)[0], return_counts=True) for f in np.split(flat, np.cumsum(sizes)[:-1])]
                 arrays = [pa.array([m[i] for m in made], pa.list_(pa.int64())) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(x, y - x), batch.column("doc_id").slice(x, y - x), *columns, pa.array(digests, pa.string()), *arrays],
+                    [batch.column("row").slice(x, n), batch.column("doc_id").slice(x, n), *columns, pa.array(digests, pa.string()), *arrays],
                     names=["row", *[c for c in names if c not in ("n_best", "count_sum")], "keys", "times"],
                 )
 

@@ -65,7 +65,19 @@ MESSY_NAMES = [
 ]
 
 SCHEMA = ProfileSchema(rt_nested=(("place", ("city", "zone")),))
-DOC_STOP_DF = 10
+#: Document pairs are all pairs of different word sets from this similarity on.
+DOC_SIMILAR_FROM = 0.3
+
+
+#: An ensemble made by rule (F-G): every number is a multiple of a power of two, so sums are exact on both engines.
+RULE_TREES = 24
+RULE_DEPTH = 3
+TREE_RULES = {
+    "weight": "case when tree = 0 then 1.0D else 0.125D end",
+    "feature": "(tree * 5 + node * 3) % {n}",
+    "threshold": "((tree + node) % 4 - 1) / 2.0D",
+    "prediction": "((tree * 13 + node * 7) % 33 - 16) / 32.0D",
+}
 
 
 def pick(values: list[str], index: str) -> str:
@@ -213,3 +225,14 @@ def log_of(events: DataFrame) -> DataFrame:
         prob.alias("prob_match"),
         F.when(prob >= 0.9, "AUTO_MERGE").when(prob >= 0.6, "REVIEW").otherwise("KEEP_SEPARATE").alias("action"),
     )
+
+
+def rule_trees(spark: SparkSession, n_features: int) -> DataFrame:
+    """F-G: complete trees of ``RULE_DEPTH`` in the shape of a stored node table."""
+    inner = 2**RULE_DEPTH - 1
+    nodes = spark.range(RULE_TREES).selectExpr("cast(id as int) as tree", f"explode(sequence(0, {2 * inner})) as node")
+    rules = [f"{rule.format(n=n_features)} as {name}" for name, rule in TREE_RULES.items()]
+    return nodes.selectExpr(
+        "tree", "node", *rules, f"case when node < {inner} then 2 * node + 1 else -1 end as left",
+        f"case when node < {inner} then 2 * node + 2 else -1 end as right",
+    )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from kinfold.config import DEFAULT_SCHEMA as S
 from kinfold.functions import normalize as n
 
-from .inputs import CONTACT_RULES, DOC_STOP_DF, RAW_RULES
+from .inputs import CONTACT_RULES, DOC_SIMILAR_FROM, RAW_RULES
 
 SETS = S.site_sets
 FS_KEYS = list(S.fs_keys) + [c.removeprefix("fs_") for c in SETS]
@@ -70,6 +70,23 @@ def pairs_of(blocks: str) -> str:
     from {blocks} x join {blocks} y on x.block_key = y.block_key and x.profile_id < y.profile_id"""
 
 
+def set_classes(sets: str) -> str:
+    """Profiles with equal token sets, and the smallest of them."""
+    return f"""select profile_id, min(profile_id) over (partition by k) as class_id, size from (
+      select profile_id, string_agg(length(token) || ':' || token, '' order by token) as k, count(*) as size
+      from {sets} group by profile_id)"""
+
+
+def similar_sets(sets: str, classes: str, least: float) -> str:
+    """All pairs of classes that share any token, from a similarity on: brute force, no blocking."""
+    first = f"(select profile_id, size, token from {sets} join {classes} using (profile_id) where profile_id = class_id)"
+    return f"""select * from (
+      select x.profile_id as profile_id_1, y.profile_id as profile_id_2, count(*) as n,
+        count(*) / (any_value(x.size) + any_value(y.size) - count(*))::double as similarity
+      from {first} x join {first} y on x.token = y.token and x.profile_id < y.profile_id group by 1, 2)
+    where similarity >= {least}"""
+
+
 def features_sql(pairs: str) -> str:
     cols = ["q.profile_id_1", "q.profile_id_2"]
     for c in S.match + S.match_ids + ("email_domain",):
@@ -243,22 +260,17 @@ CTE: dict[str, tuple[list[str], str]] = {
         """select distinct profile_id, token from (
         select profile_id, unnest(string_split_regex(lower(text), '\\s+')) as token from docs) where token <> ''""",
     ),
-    "dkeys": (["dtok"], "select 'site::' || token as block_key, profile_id from dtok"),
-    "dblocks": (["dkeys"], kiloblocks("dkeys", 300, DOC_STOP_DF)),
-    "dpairs": (["dblocks"], pairs_of("dblocks")),
-    "dsim": (
-        ["dpairs", "dtok"],
-        """select profile_id_1, profile_id_2, n, n / (a.s + b.s - n)::double as similarity from (
-          select p.profile_id_1, p.profile_id_2, count(*) as n from dpairs p
-          join dtok x on x.profile_id = p.profile_id_1
-          join dtok y on y.profile_id = p.profile_id_2 and y.token = x.token group by all)
-        join (select profile_id, count(*) as s from dtok group by 1) a on a.profile_id = profile_id_1
-        join (select profile_id, count(*) as s from dtok group by 1) b on b.profile_id = profile_id_2""",
+    "dcls": (["dtok"], set_classes("dtok")),
+    "dmember": (
+        ["docs", "dcls"],
+        """select profile_id, coalesce(class_id, profile_id) as class_id
+        from (select distinct profile_id from docs) left join dcls using (profile_id)""",
     ),
-    "dnodes": (["docs"], "select distinct profile_id as id from docs"),
+    "dsim": (["dtok", "dcls"], similar_sets("dtok", "dcls", DOC_SIMILAR_FROM)),
+    "dnodes": (["dmember"], "select distinct class_id as id from dmember"),
     "dedges": (["dsim"], "select profile_id_1 as a, profile_id_2 as b from dsim where similarity >= 0.6"),
     **components("dedges", "dnodes", "dcc"),
-    "dclusters": (["dcc"], "select id as profile_id, lab as cluster_id from dcc"),
+    "dclusters": (["dcc", "dmember"], "select profile_id, lab as cluster_id from dmember join dcc on id = class_id"),
     "levels": ([], f"select unnest([{comma(f'{t}::double' for t in SWEEP)}]) as t"),
     "tnodes": (["dnodes", "levels"], "select {'t': t, 'id': id} as id from dnodes, levels"),
     "tedges": (
@@ -266,7 +278,10 @@ CTE: dict[str, tuple[list[str], str]] = {
         "select {'t': t, 'id': profile_id_1} as a, {'t': t, 'id': profile_id_2} as b from dsim join levels on similarity >= t",
     ),
     **components("tedges", "tnodes", "tcc"),
-    "tclusters": (["tcc"], "select id.t as threshold, id.id as profile_id, lab.id as cluster_id from tcc"),
+    "tclusters": (
+        ["tcc", "dmember"],
+        "select id.t as threshold, profile_id, lab.id as cluster_id from tcc join dmember on id.id = class_id",
+    ),
     "sweep": (
         ["tclusters", "dsim"],
         """select s.threshold, clusters, records_in_clusters, avg_cluster_size, max_cluster_size,

@@ -15,9 +15,12 @@ from kinfold.operators import (
     collapse,
     components,
     evaluate,
+    model,
     profiling,
     review,
+    setjoin,
 )
+from kinfold.operators.refine import PUBLISHED
 from kinfold.operators.flatten import discover_keys, flatten, realtime_place
 from kinfold.plans import inference
 from kinfold.session import store
@@ -78,12 +81,12 @@ def people(spark, sf) -> inference.Profiles:
 
 
 def fa_pairs(spark, sf):
-    return stored("pairs", spark, sf, lambda: store(inference.candidates(people(spark, sf)), "pairs"))
+    return stored("pairs", spark, sf, lambda: store(inference.candidates(people(spark, sf), PUBLISHED), "pairs"))
 
 
 def fa_scored(spark, sf):
     def make():
-        return store(inference.score_pairs(fa_pairs(spark, sf), people(spark, sf), None, 0.8, 0.6), "scored")
+        return store(inference.score_pairs(fa_pairs(spark, sf), people(spark, sf), model.rule_score, 0.8, 0.6), "scored")
 
     return stored("scored", spark, sf, make)
 
@@ -100,34 +103,45 @@ def doc_tokens(spark, sf):
     return stored("doc_tokens", spark, sf, lambda: store(I.doc_tokens(spark, sf), "doc_tokens"))
 
 
-def doc_pairs(spark, sf):
-    """F-B pairs that share a rare word, with the Jaccard similarity of all their words."""
+def doc_sets(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """F-B: classes of equal word sets, and all pairs of classes from ``DOC_SIMILAR_FROM`` on."""
 
     def make():
-        tokens = doc_tokens(spark, sf)
-        keys = blocking.site_keys(tokens)
-        pairs = blocking.pairs_from_blocks(blocking.prune_blocks(keys, stop_df=I.DOC_STOP_DF))
-        words = collapse.inline_sets(tokens, ["fs_visited_365"])
-        both = blocking.attach_both(pairs, words, ["fs_visited_365"])
-        a, b = F.col("fs_visited_365_1"), F.col("fs_visited_365_2")
-        counted = both.select(
-            "profile_id_1", "profile_id_2", similarity.set_overlap(a, b).alias("n"), F.size(a).alias("sa"), F.size(b).alias("sb")
-        )
-        score = similarity.jaccard_of(F.col("n"), F.col("sa"), F.col("sb"))
-        return store(counted.select("profile_id_1", "profile_id_2", "n", score.alias("similarity")), "doc_pairs")
+        classes, pairs = setjoin.similar_sets(doc_tokens(spark, sf), I.DOC_SIMILAR_FROM)
+        return classes, store(pairs, "doc_pairs")
+
+    return stored("doc_sets", spark, sf, make)
 
-    return stored("doc_pairs", spark, sf, make)
+
+def doc_pairs(spark, sf):
+    """F-B pairs between the first documents of classes, with the Jaccard similarity of all their words."""
+    return doc_sets(spark, sf)[1]
+
+
+def doc_members(spark, sf):
+    """``(profile_id, class_id)`` of all documents; one without words is alone."""
+    every = I.doc_profiles(spark, sf).select("profile_id").distinct()
+    found = doc_sets(spark, sf)[0].select("profile_id", "class_id")
+    return every.join(found, "profile_id", "left").select("profile_id", F.coalesce("class_id", "profile_id").alias("class_id"))
 
 
 def doc_ids(spark, sf):
-    """All documents, paired or not."""
-    return I.doc_profiles(spark, sf).select("profile_id").distinct()
+    """First documents of all classes, paired or not."""
+    return doc_members(spark, sf).select(F.col("class_id").alias("profile_id")).distinct()
+
+
+def all_documents(spark, sf, clusters, *by):
+    """Clusters of first documents to clusters of all documents."""
+    found = clusters.select(*by, F.col("profile_id").alias("class_id"), "cluster_id")
+    # A class may have very many documents.
+    members = doc_members(spark, sf)
+    return members.join(found, "class_id").select(*by, "profile_id", "cluster_id")
 
 
 def doc_clusters(spark, sf):
     def make():
         edges = doc_pairs(spark, sf).filter("similarity >= 0.6").select("profile_id_1", "profile_id_2")
-        return store(components.connected_components(edges, doc_ids(spark, sf)), "doc_clusters")
+        return store(all_documents(spark, sf, components.connected_components(edges, doc_ids(spark, sf))), "doc_clusters")
 
     return stored("doc_clusters", spark, sf, make)
 
@@ -142,14 +156,12 @@ def level_clusters(spark, sf):
         edges = edges.select(node("profile_id_1").alias("a"), node("profile_id_2").alias("b"))
         nodes = doc_ids(spark, sf).select("*", levels).select(node("profile_id").alias("profile_id"))
         found = components.connected_components(edges, nodes)
-        return store(
-            found.select(
-                F.col("profile_id.t").alias("threshold"),
-                F.col("profile_id.id").alias("profile_id"),
-                F.col("cluster_id.id").alias("cluster_id"),
-            ),
-            "level_clusters",
+        plain = found.select(
+            F.col("profile_id.t").alias("threshold"),
+            F.col("profile_id.id").alias("profile_id"),
+            F.col("cluster_id.id").alias("cluster_id"),
         )
+        return store(all_documents(spark, sf, plain, "threshold"), "level_clusters")
 
     return stored("level_clusters", spark, sf, make)
 

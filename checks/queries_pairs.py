@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from kinfold import config
@@ -9,6 +11,7 @@ from kinfold.functions import similarity
 from kinfold.functions import normalize as n
 from kinfold.operators import (
     blocking,
+    boosting,
     collapse,
     components,
     evaluate,
@@ -17,8 +20,10 @@ from kinfold.operators import (
     model,
     profiling,
     review,
+    setjoin,
     splits,
 )
+from kinfold.operators.refine import PUBLISHED, REFINED, BlockRule
 from kinfold.plans import inference
 from kinfold.session import store
 from kinfold.sources import events as io
@@ -27,9 +32,11 @@ from kinfold.streaming import incremental, monitor
 from . import inputs as I
 from . import oracle as O
 from .queries import (
+    all_documents,
     doc_clusters,
     doc_ids,
     doc_pairs,
+    doc_sets,
     doc_tokens,
     fa_clusters,
     fa_pairs,
@@ -75,27 +82,151 @@ def block_keys(spark, sf):
 def blocks_default(spark, sf):
     """B5-B8 with the published limits."""
     p = people(spark, sf)
-    return blocking.build_blocks(p.rows, p.tokens)
+    return blocking.build_blocks(p.rows, p.tokens, PUBLISHED)
 
 
 @query("select block_key, profile_id from blocks_small", "blocks_small")
 def blocks_small_limits(spark, sf):
     """B5-B8 with limits that bite at any scale."""
     p = people(spark, sf)
-    return blocking.build_blocks(p.rows, p.tokens, max_block=20, stop_df=60)
+    return blocking.build_blocks(p.rows, p.tokens, BlockRule(20, 60))
+
+
+def losses_sql(keys: str, max_block: int, stop: int) -> str:
+    """What the published limits leave unpaired."""
+    return f"""select block_key, rule, size, kept::bigint as kept, (size * (size - 1) // 2 - kept * (kept - 1) // 2)::bigint as pairs_lost from (
+      select block_key, count(*) as size,
+        case when starts_with(block_key, 'site::') and count(*) > {stop} then 'site_stop' else 'sample' end as rule,
+        case when starts_with(block_key, 'site::') and count(*) > {stop} then 0 else {max_block} end as kept
+      from {keys} group by 1 having count(*) > {max_block} or starts_with(block_key, 'site::') and count(*) > {stop})"""
+
+
+@query(losses_sql("keys", 300, 150), "keys")
+def blocks_dropped(spark, sf):
+    """What the published limits leave unpaired, block by block."""
+    p = people(spark, sf)
+    return blocking.blocks_and_losses(p.rows, p.tokens, PUBLISHED)[1]
+
+
+@query(losses_sql("keys", 20, 60), "keys")
+def blocks_dropped_small(spark, sf):
+    """The same for limits that bite at any scale."""
+    p = people(spark, sf)
+    return blocking.blocks_and_losses(p.rows, p.tokens, BlockRule(20, 60))[1]
+
+
+def refined_ctes(name: str, rule: BlockRule) -> None:
+    """Blocks above the limit split value by value, as nested queries; and their ledger."""
+    top, losses, blocks = rule.max_block, [], []
+    O.CTE[f"{name}_0"] = (["keys"], "select * from (select *, count(*) over (partition by block_key) as n from keys) where n > 1")
+    for i, c in enumerate(rule.split_by, 1):
+        before = f"{name}_{i - 1}"
+        blocks.append(f"select block_key, profile_id from {before} where n <= {top}")
+        O.CTE[f"{name}_parts_{i}"] = (
+            [before, "prof"],
+            f"""select b.block_key || '|{c}' || coalesce('=' || p.{c}::varchar, '') as part, b.profile_id, b.block_key, b.n
+            from {before} b left join prof p on p.profile_id = b.profile_id where b.n > {top}""",
+        )
+        O.CTE[f"{name}_{i}"] = (
+            [f"{name}_parts_{i}"],
+            f"""select * from (select part as block_key, profile_id, count(*) over (partition by part) as n
+            from {name}_parts_{i}) where n > 1""",
+        )
+        losses.append(
+            f"""select block_key, 'split {c}' as rule, n as size, sum(case when k > 1 then k else 0 end)::bigint as kept,
+            (n * (n - 1) // 2 - sum(k * (k - 1) // 2))::bigint as pairs_lost
+            from (select block_key, part, n, count(*) as k from {name}_parts_{i} group by all) group by block_key, n
+            having n * (n - 1) // 2 > sum(k * (k - 1) // 2)"""
+        )
+    last = f"{name}_{len(rule.split_by)}"
+    blocks.append(f"select block_key, profile_id from {last} where n <= {top}")
+    blocks.append(
+        f"""select block_key, profile_id from (select *, row_number() over (partition by block_key
+        order by md5('0|' || block_key || '|' || profile_id), profile_id) as r from {last} where n > {top}) where r <= {top}"""
+    )
+    losses.append(
+        f"""select block_key, 'sample', n, {top}::bigint, (n * (n - 1) // 2 - {top * (top - 1) // 2})::bigint
+        from {last} where n > {top} group by block_key, n"""
+    )
+    needs = [f"{name}_{i}" for i in range(len(rule.split_by) + 1)]
+    O.CTE[f"{name}_blocks"] = (needs, " union all ".join(blocks))
+    O.CTE[f"{name}_losses"] = ([*needs, *[f"{name}_parts_{i}" for i in range(1, len(rule.split_by) + 1)]], " union all ".join(losses))
+
+
+SMALL = BlockRule(12, None, ("email_domain", "first_name", "rt_geoid"))
+refined_ctes("fine", REFINED)
+refined_ctes("small", SMALL)
+
+
+@query("select block_key, profile_id from fine_blocks", "fine_blocks")
+def blocks_refined(spark, sf):
+    """B6-B8 adaptive: blocks above 300 are split by domain, first name and place before any is sampled."""
+    p = people(spark, sf)
+    return blocking.build_blocks(p.rows, p.tokens, REFINED)
+
+
+@query("select block_key, profile_id from small_blocks", "small_blocks")
+def blocks_refined_small(spark, sf):
+    """B6-B8 adaptive with a limit that bites at any scale."""
+    p = people(spark, sf)
+    return blocking.build_blocks(p.rows, p.tokens, SMALL)
+
+
+@query("select block_key, rule, size, kept, pairs_lost from fine_losses", "fine_losses")
+def blocks_refined_dropped(spark, sf):
+    """B6-B8 adaptive: what splitting and sampling leave unpaired."""
+    p = people(spark, sf)
+    return blocking.blocks_and_losses(p.rows, p.tokens, REFINED)[1]
+
+
+@query("select block_key, rule, size, kept, pairs_lost from small_losses", "small_losses")
+def blocks_refined_small_dropped(spark, sf):
+    """B6-B8 adaptive: the same for a limit that bites at any scale."""
+    p = people(spark, sf)
+    return blocking.blocks_and_losses(p.rows, p.tokens, SMALL)[1]
+
+
+O.CTE["fine_pairs"] = (["fine_blocks"], O.pairs_of("fine_blocks"))
+O.CTE["fine_labels"] = (["fine_pairs", "prof"], O.labelled("fine_pairs", "prof"))
+
+
+@query("""select round(case when t = 0 then 1.0 else c / t::double end, 6) as recall, c as captured, t as total from
+  (select coalesce(sum(is_match), 0)::bigint as c from fine_labels), (select coalesce(sum(n_true_pairs), 0)::bigint as t from truth)""",
+  "fine_labels", "truth")
+def refined_recall(spark, sf):
+    """B11 of split blocks."""
+    p = people(spark, sf)
+    labelled = inference.candidates(p, REFINED, labeled=True)
+    return rounded(blocking.blocking_recall(labelled, p.rows), "recall")
 
 
 @query("select profile_id_1, profile_id_2 from pairs", "pairs")
 def candidate_pairs(spark, sf):
     """B9."""
-    return inference.candidates(people(spark, sf))
+    return inference.candidates(people(spark, sf), PUBLISHED)
 
 
-@query("select profile_id_1, profile_id_2 from dpairs", "dpairs")
+@query("select profile_id_1, profile_id_2 from dsim", "dsim")
 def document_pairs(spark, sf):
-    """B4-B9 on documents that share a rare word."""
-    keys = blocking.site_keys(doc_tokens(spark, sf))
-    return blocking.pairs_from_blocks(blocking.prune_blocks(keys, stop_df=I.DOC_STOP_DF))
+    """B9 on documents: all pairs of different word sets from a similarity of 0.3 on; no word is left out."""
+    return doc_pairs(spark, sf).select(*IDS)
+
+
+@query("select profile_id, class_id, size from dcls", "dcls")
+def document_classes(spark, sf):
+    """Documents with equal word sets are told by membership, not by pairs."""
+    return doc_sets(spark, sf)[0]
+
+
+O.CTE["site_sets"] = (["tokens"], "select distinct profile_id, token from tokens")
+O.CTE["site_classes"] = (["site_sets"], O.set_classes("site_sets"))
+
+
+@query("select profile_id_1, profile_id_2, n, similarity from (" + O.similar_sets("site_sets", "site_classes", 0.3) + ")", "site_sets", "site_classes")
+def site_set_pairs(spark, sf):
+    """B9, F6 on profiles: pairs of different site sets that are alike to 0.3 or more, whatever the size of a site."""
+    tokens = people(spark, sf).tokens.select("profile_id", "token").distinct()
+    return setjoin.similar_sets(store(tokens, "site-sets"), 0.3)[1]
 
 
 @query("select profile_id_1, profile_id_2, is_match from labels_fa", "labels_fa")
@@ -138,7 +269,7 @@ def compare_strategies(spark, sf):
     """Domain blocks alone against all keys."""
     p = people(spark, sf)
     variants = {"domain": ["dom"], "all_keys": ["dom", "phone", "name", "site"]}
-    return rounded(blocking.compare_strategies(p.rows, p.tokens, variants), "recall")
+    return rounded(blocking.compare_strategies(p.rows, p.tokens, variants, PUBLISHED), "recall")
 
 
 @query("select block_key, record_id from domain_keys", "domain_keys")
@@ -185,7 +316,7 @@ def domain_truth_pairs(spark, sf):
 def recall_found_missed(spark, sf):
     """What domain blocks find of the true pairs."""
     p = people(spark, sf)
-    pairs = blocking.pairs_from_blocks(blocking.build_blocks(p.rows, p.tokens, kinds=["dom"]))
+    pairs = blocking.pairs_from_blocks(blocking.build_blocks(p.rows, p.tokens, PUBLISHED, kinds=["dom"]))
     return rounded(blocking.recall_found_missed(blocking.label_pairs(pairs, p.rows), p.rows), "recall")
 
 
@@ -198,7 +329,7 @@ def recall_found_missed(spark, sf):
 def recall_against(spark, sf):
     """B19 for a given table of pairs."""
     p = people(spark, sf)
-    pairs = blocking.pairs_from_blocks(blocking.build_blocks(p.rows, p.tokens, kinds=["dom"]))
+    pairs = blocking.pairs_from_blocks(blocking.build_blocks(p.rows, p.tokens, PUBLISHED, kinds=["dom"]))
     return rounded(blocking.recall_against(fa_pairs(spark, sf), pairs), "recall")
 
 
@@ -280,7 +411,7 @@ def minhash_keys(spark, sf):
 def minhash_document_pairs(spark, sf):
     """B23 on documents: keys pruned and paired like any others."""
     keys = blocking.minhash_keys(doc_tokens(spark, sf))
-    return blocking.pairs_from_blocks(blocking.prune_blocks(keys))
+    return blocking.pairs_from_blocks(blocking.prune_blocks(keys, config.MAX_BLOCK_PROFILES, config.SITE_STOP_DF))
 
 
 # -- features ----------------------------------------------------------------------------
@@ -669,8 +800,8 @@ def missed_overlaps(spark, sf):
 
 
 O.CTE["cells"] = (
-    ["dcc", "docs"],
-    "select lab as cluster_id, entity_id, count(*) as n from dcc join docs on profile_id = id group by 1, 2",
+    ["dclusters", "docs"],
+    "select cluster_id, entity_id, count(*) as n from dclusters join docs using (profile_id) group by 1, 2",
 )
 O.CTE["bcubed"] = (
     ["cells"],
@@ -756,18 +887,87 @@ def logistic(spark, sf):
     return stored("logistic", spark, sf, lambda: model.fit_logistic(linear_table(spark, sf), LINEAR))
 
 
-def trees(spark, sf):
-    """Few rounds: the registered query shows the fit, the defaults are the published ones."""
+#: Rounds of the registered fit; depth, step and patience are the published ones.
+TREE_ROUNDS = 60
+FLOW_ROUNDS = 20
 
+
+def boosted(spark, sf) -> boosting.Boosted:
     def make():
         folded = splits.split_pairs(fa_features(spark, sf), splits.entity_split(people(spark, sf).rows))
-        train = folded.filter("fold = 'train'").drop("fold")
-        val = folded.filter("fold = 'val'").drop("fold")
-        return model.fit_gbt(train, FEATURES, val, max_iter=10, depth=4)
+        train = store(folded.filter("fold = 'train'").drop("fold"), "train")
+        val = store(folded.filter("fold = 'val'").drop("fold"), "val")
+        return boosting.fit_boosted(train, FEATURES, val, max_iter=TREE_ROUNDS)
 
     return stored("trees", spark, sf, make)
 
 
+def trees(spark, sf):
+    return boosted(spark, sf).fitted
+
+
+def _rule(name: str, node: str) -> str:
+    """A rule of the made ensemble at a node, in SQL."""
+    return re.sub(r"\bnode\b", node, I.TREE_RULES[name].format(n=len(FEATURES)).replace("D", "::double"))
+
+
+def _walk(node: str) -> str:
+    goes_left = f"x[{_rule('feature', node)} + 1] <= {_rule('threshold', node)}"
+    return f"case when {goes_left} then 2 * {node} + 1 else 2 * {node} + 2 end"
+
+
+O.CTE["prefix_scores"] = (
+    ["feats", "labels_fa"],
+    f"""select profile_id_1, profile_id_2, is_match, tree + 1 as prefix,
+      sum({_rule('weight', 'node')} * {_rule('prediction', 'node')}) over (partition by profile_id_1, profile_id_2 order by tree) as score
+    from (select *, {_walk('n2')} as node from (select *, {_walk('n1')} as n2 from (select *, {_walk('0')} as n1 from (
+      select f.profile_id_1, f.profile_id_2, is_match, tree, [{O.comma(f'coalesce({c}::double, -1.0)' for c in FEATURES)}] as x
+      from feats f join labels_fa l on l.profile_id_1 = f.profile_id_1 and l.profile_id_2 = f.profile_id_2,
+        (select unnest(range({I.RULE_TREES}))::integer as tree)))))""",
+)
+O.CTE["prefix_ap"] = (
+    ["prefix_scores"],
+    """select prefix, coalesce(sum(case when positives > 0 then n_pos / positives::double * (tp / predicted::double) end), 0.0) as pr_auc from (
+      select prefix, n_pos, sum(n_pos) over w as tp, sum(n) over w as predicted, sum(n_pos) over (partition by prefix) as positives from (
+        select prefix, score, count(*) as n, sum(is_match) as n_pos from prefix_scores group by 1, 2)
+      window w as (partition by prefix order by score desc rows unbounded preceding)) group by prefix""",
+)
+
+
+def prefix_ap(spark, sf):
+    def make():
+        nodes = I.rule_trees(spark, len(FEATURES))
+        return store(boosting.prefix_metrics(fa_features(spark, sf), FEATURES, nodes), "prefix-ap")
+
+    return stored("prefix_ap", spark, sf, make)
+
+
+O.CTE["seen"] = (
+    ["prefix_ap"],
+    """select prefix, max(case when is_new then prefix end) over (order by prefix rows unbounded preceding) as last from (
+      select prefix, pr_auc > coalesce(max(pr_auc) over (order by prefix rows between unbounded preceding and 1 preceding), -1.0) as is_new
+      from prefix_ap)""",
+)
+
+
+@query("select prefix, round(pr_auc, 6) as pr_auc from prefix_ap", "prefix_ap")
+def boosting_prefixes(spark, sf):
+    """M1: PR-AUC of every prefix of an ensemble, from its node table."""
+    return rounded(prefix_ap(spark, sf), "pr_auc")
+
+
+@query(
+    """select best, round(pr_auc, 6) as pr_auc, stopped_at from (
+      select coalesce(min(case when prefix - last >= 5 then prefix end), max(prefix)) as stopped_at from seen)
+    join (select prefix, last as best from seen) s on s.prefix = stopped_at
+    join (select prefix as p, pr_auc from prefix_ap) on p = best""",
+    "prefix_ap", "seen",
+)
+def boosting_best_prefix(spark, sf):
+    """M1: the prefix that stays, with a patience of five trees."""
+    return rounded(boosting.best_prefix(prefix_ap(spark, sf), 5), "pr_auc")
+
+
 @query()
 def train_logistic(spark, sf):
     """Coefficients by size."""
@@ -776,10 +976,21 @@ def train_logistic(spark, sf):
 
 @query()
 def train_trees(spark, sf):
-    """Boosted trees with early stopping."""
+    """Boosted trees, cut to the prefix with the best PR-AUC on the validation fold."""
     return model.importance(trees(spark, sf), spark)
 
 
+@query()
+def trained_inference(spark, sf):
+    """Training run on the events, then inference with that model at the thresholds it calibrated."""
+    trained = inference.run_training(raw(spark, sf), PUBLISHED, max_iter=FLOW_ROUNDS)
+    at = trained.thresholds.first()
+    result = inference.run_inference(
+        raw(spark, sf), PUBLISHED, trained.fitted, at["auto_merge"], min(at["review"], at["auto_merge"]), components.REVIEW
+    )
+    return result.summary.join(F.broadcast(trained.thresholds))
+
+
 @query()
 def score_with_trees(spark, sf):
     """M3, M5: probability and decision of all candidate pairs."""
@@ -845,7 +1056,7 @@ def connected_components(spark, sf):
 def document_components(spark, sf):
     """G2 on near-equal documents."""
     edges = doc_pairs(spark, sf).filter("similarity >= 0.6").select(*IDS)
-    return components.connected_components(edges, doc_ids(spark, sf))
+    return all_documents(spark, sf, components.connected_components(edges, doc_ids(spark, sf)))
 
 
 @query("select cluster_id, count(*) as size from clusters group by 1", "clusters")
@@ -863,20 +1074,22 @@ def cluster_sizes(spark, sf):
 )
 def inference_summary(spark, sf):
     """The whole flow from events to the summary row."""
-    return inference.run_inference(raw(spark, sf), auto=0.8, review=0.6).summary
+    return inference.run_inference(raw(spark, sf), PUBLISHED, model.rule_score, auto=0.8, review=0.6).summary
 
 
 @query()
 def average_linkage(spark, sf):
     """G5 at threshold 0.5 (brute-force checked in the tests)."""
-    return linkage.average_linkage(doc_pairs(spark, sf), [0.5], doc_ids(spark, sf))
+    found = linkage.average_linkage(doc_pairs(spark, sf), [0.5], doc_ids(spark, sf))
+    return all_documents(spark, sf, found, "threshold")
 
 
 @query()
 def linkage_sweep(spark, sf):
     """Average linkage for all published thresholds at once."""
     pairs = doc_pairs(spark, sf)
-    return review.threshold_sweep(linkage.average_linkage(pairs, config.SWEEP_THRESHOLDS), pairs)
+    found = linkage.average_linkage(pairs, config.SWEEP_THRESHOLDS, doc_ids(spark, sf))
+    return review.threshold_sweep(all_documents(spark, sf, found, "threshold"), pairs)
 
 
 @query(
@@ -1050,7 +1263,8 @@ def incremental_components(spark, sf):
     """The close pairs first, the others added later."""
     pairs = doc_pairs(spark, sf).filter("similarity >= 0.6")
     first = components.connected_components(pairs.filter("similarity >= 0.9").select(*IDS), doc_ids(spark, sf))
-    return components.extend_components(first, pairs.filter("similarity < 0.9").select(*IDS))
+    extended = components.extend_components(first, pairs.filter("similarity < 0.9").select(*IDS))
+    return all_documents(spark, sf, extended)
 
 
 # -- monitoring --------------------------------------------------------------------------
@@ -1203,7 +1417,9 @@ def new_against_stored(spark, sf):
     last = p.rows.agg((F.max("created_at") - F.expr("interval 2 hours")).alias("since"))
     recent = p.rows.join(F.broadcast(last), F.col("created_at") >= F.col("since")).select("profile_id")
     keys = blocking.block_keys(p.rows, p.tokens)
-    return incremental.new_pairs(keys.join(recent, "profile_id", "left_semi"), keys)
+    return incremental.new_pairs(
+        keys.join(recent, "profile_id", "left_semi"), keys, config.MAX_BLOCK_PROFILES, config.SITE_STOP_DF
+    )
 
 
 DRIFTED = ("first_name", "email", "phone", "birthday")

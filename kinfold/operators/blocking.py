@@ -8,8 +8,9 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import MAX_BLOCK_PROFILES, MAX_PAIRS_PER_BLOCK, SITE_STOP_DF
+from ..config import MAX_PAIRS_PER_BLOCK
 from ..functions.normalize import day_of_week, has_name, name_block_key
+from .refine import BlockRule, dropped_blocks, refine_blocks
 from .skew import hot_keys, running_totals
 
 STRATEGIES = ("email_only", "combined_time", "hash_only", "priority")
@@ -26,6 +27,7 @@ HASH_FIELDS = (
 # Name blocks of other sizes are skipped (published rule).
 NAME_BLOCK_MIN, NAME_BLOCK_MAX = 2, 2000
 MERSENNE = (1 << 31) - 1
+NO_LIMIT = (1 << 62)
 
 
 def _keys(df: DataFrame, keys: Column, id_col: str = "profile_id") -> DataFrame:
@@ -68,8 +70,8 @@ def block_keys(
 
 def prune_blocks(
     keys: DataFrame,
-    max_block: int = MAX_BLOCK_PROFILES,
-    stop_df: int = SITE_STOP_DF,
+    max_block: int,
+    stop_df: int,
     seed: int = 0,
 ) -> DataFrame:
     """Drop lone members and frequent sites, sample large blocks to ``max_block``.
@@ -78,7 +80,8 @@ def prune_blocks(
     before the shuffle as well, so a key held by a third of all rows sends only that
     many rows per input partition.
     """
-    need = max(max_block, stop_df) + 1
+    # Without a stop, only the block limit has to be told apart.
+    need = (max_block if stop_df == NO_LIMIT else max(max_block, stop_df)) + 1
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), "block_key", "profile_id"))
     by_draw = Window.partitionBy("block_key").orderBy("_draw", "profile_id")
     ranked = (
@@ -98,13 +101,29 @@ def prune_blocks(
 def build_blocks(
     profiles: DataFrame,
     tokens: DataFrame,
-    max_block: int = MAX_BLOCK_PROFILES,
-    stop_df: int = SITE_STOP_DF,
+    rule: BlockRule,
     seed: int = 0,
     kinds: Sequence[str] = ("dom", "phone", "name", "site"),
 ) -> DataFrame:
-    """Pruned blocks as ``(block_key, profile_id)``."""
-    return prune_blocks(block_keys(profiles, tokens, kinds), max_block, stop_df, seed)
+    """Pruned or split blocks as ``(block_key, profile_id)``."""
+    return blocks_and_losses(profiles, tokens, rule, seed, kinds)[0]
+
+
+def blocks_and_losses(
+    profiles: DataFrame,
+    tokens: DataFrame,
+    rule: BlockRule,
+    seed: int = 0,
+    kinds: Sequence[str] = ("dom", "phone", "name", "site"),
+) -> tuple[DataFrame, DataFrame]:
+    """B8 with the ledger of what the rule leaves unpaired."""
+    keys = block_keys(profiles, tokens, kinds)
+    if rule.split_by:
+        if rule.stop_df is not None:
+            keys = keys.join(dropped_blocks(keys, NO_LIMIT, rule.stop_df).select("block_key"), "block_key", "left_anti")
+        return refine_blocks(keys, profiles, rule.max_block, rule.split_by, seed)
+    stop_df = NO_LIMIT if rule.stop_df is None else rule.stop_df
+    return prune_blocks(keys, rule.max_block, stop_df, seed), dropped_blocks(keys, rule.max_block, stop_df)
 
 
 def pairs_from_blocks(blocks: DataFrame) -> DataFrame:
@@ -203,12 +222,12 @@ def recall_against(truth: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def compare_strategies(
-    profiles: DataFrame, tokens: DataFrame, variants: dict[str, Sequence[str]], **limits: int
+    profiles: DataFrame, tokens: DataFrame, variants: dict[str, Sequence[str]], rule: BlockRule
 ) -> DataFrame:
     """Pair count and recall of several key subsets."""
     rows = None
     for name, kinds in variants.items():
-        labelled = label_pairs(pairs_from_blocks(build_blocks(profiles, tokens, kinds=kinds, **limits)), profiles)
+        labelled = label_pairs(pairs_from_blocks(build_blocks(profiles, tokens, rule, kinds=kinds)), profiles)
         counted = labelled.agg(
             F.count(F.lit(1)).alias("n_pairs"),
             F.coalesce(F.sum("is_match"), F.lit(0)).cast("bigint").alias("captured"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -11,16 +12,19 @@ from pyspark.sql import functions as F
 from ..config import (
     AUTO_MERGE_THRESHOLD,
     DEFAULT_SCHEMA,
-    MAX_BLOCK_PROFILES,
     REVIEW_THRESHOLD,
-    SITE_STOP_DF,
     ProfileSchema,
 )
-from ..operators import blocking, collapse, components, evaluate, features, model, splits
+from ..operators import blocking, boosting, collapse, components, evaluate, features, model, splits
 from ..operators.flatten import flatten
+from ..operators.refine import BlockRule
 from ..session import cut_lineage, store as store_table
 
 
+#: A fitted model, or a function that adds ``prob_match`` to a feature table.
+Scorer = PipelineModel | Callable[[DataFrame], DataFrame]
+
+
 @dataclass
 class Profiles:
     """Profile rows and the long table of their site tokens."""
@@ -35,6 +39,7 @@ class Result:
     pairs: DataFrame
     clusters: DataFrame
     summary: DataFrame
+    dropped: DataFrame
 
 
 def preprocess(raw: DataFrame, schema: ProfileSchema = DEFAULT_SCHEMA, store: bool = False) -> Profiles:
@@ -49,13 +54,12 @@ def preprocess(raw: DataFrame, schema: ProfileSchema = DEFAULT_SCHEMA, store: bo
 
 def candidates(
     profiles: Profiles,
+    rule: BlockRule,
     labeled: bool = False,
-    max_block: int = MAX_BLOCK_PROFILES,
-    stop_df: int = SITE_STOP_DF,
     seed: int = 0,
 ) -> DataFrame:
     """Candidate pairs, labelled on request."""
-    blocks = blocking.build_blocks(profiles.rows, profiles.tokens, max_block, stop_df, seed)
+    blocks = blocking.build_blocks(profiles.rows, profiles.tokens, rule, seed)
     pairs = blocking.pairs_from_blocks(blocks)
     return blocking.label_pairs(pairs, profiles.rows) if labeled else pairs
 
@@ -63,16 +67,16 @@ def candidates(
 def score_pairs(
     pairs: DataFrame,
     profiles: Profiles,
-    fitted: PipelineModel | None = None,
+    fitted: Scorer,
     auto: float = AUTO_MERGE_THRESHOLD,
     review: float = REVIEW_THRESHOLD,
     schema: ProfileSchema = DEFAULT_SCHEMA,
 ) -> DataFrame:
-    """M5: features, probability, decision. Without a model the rule score is used."""
+    """M5: features, probability, decision, by a fitted model or a function that adds ``prob_match``."""
     table = features.pair_features(pairs, profiles.rows, schema, profiles.tokens)
-    if fitted is not None:
+    if isinstance(fitted, PipelineModel):
         return model.score(table, fitted, auto, review)
-    return model.rule_score(table).select(
+    return fitted(table).select(
         "profile_id_1",
         "profile_id_2",
         "prob_match",
@@ -82,34 +86,42 @@ def score_pairs(
 
 def run_inference(
     raw: DataFrame,
-    fitted: PipelineModel | None = None,
+    rule: BlockRule,
+    fitted: Scorer,
     auto: float = AUTO_MERGE_THRESHOLD,
     review: float = REVIEW_THRESHOLD,
     min_action: str = components.AUTO_MERGE,
     schema: ProfileSchema = DEFAULT_SCHEMA,
-    max_block: int = MAX_BLOCK_PROFILES,
-    stop_df: int = SITE_STOP_DF,
 ) -> Result:
-    """Batch inference. Profiles and scored pairs are stored once, being read several times."""
+    """Batch inference. Profiles and scored pairs are stored once, being read several times.
+
+    ``fitted`` is the model of ``run_training``, or ``model.rule_score`` where the rule is wanted.
+    ``rule`` says what becomes of large blocks (``PUBLISHED``, ``REFINED`` or limits of one's own); ``dropped`` of the result tells what it costs.
+    """
     profiles = preprocess(raw, schema, store=True)
-    pairs = candidates(profiles, max_block=max_block, stop_df=stop_df)
+    blocks, dropped = blocking.blocks_and_losses(profiles.rows, profiles.tokens, rule)
+    pairs = blocking.pairs_from_blocks(blocks)
     scored = store_table(score_pairs(pairs, profiles, fitted, auto, review, schema), "scored")
     clusters = components.connected_components(
         components.accepted_edges(scored, min_action), profiles.rows
     )
     summary = components.inference_summary(profiles.rows, scored, clusters)
-    return Result(profiles.rows, scored, clusters, summary)
+    return Result(profiles.rows, scored, clusters, summary, dropped)
 
 
 @dataclass
 class Training:
+    """Model, scored validation pairs, threshold record, PR-AUC of every prefix of the ensemble."""
+
     fitted: PipelineModel
     validation: DataFrame
     thresholds: DataFrame
+    prefixes: DataFrame
 
 
 def run_training(
     raw: DataFrame,
+    rule: BlockRule,
     val_fraction: float = 0.25,
     neg_ratio: int = 30,
     seed: int = 42,
@@ -117,16 +129,17 @@ def run_training(
     schema: ProfileSchema = DEFAULT_SCHEMA,
     **gbt: float,
 ) -> Training:
-    """Labelled candidates, split by entity, balanced training fold, fit, calibrated thresholds."""
+    """Labelled candidates, split by entity, balanced training fold, fit, best prefix, calibrated thresholds."""
     profiles = preprocess(raw, schema, store=True)
-    pairs = store_table(candidates(profiles, labeled=True), "pairs")
+    pairs = store_table(candidates(profiles, rule, labeled=True), "pairs")
     recall = blocking.blocking_recall(pairs, profiles.rows)
     folded = splits.split_pairs(pairs, splits.entity_split(profiles.rows, val_fraction, seed))
     train = splits.sample_negatives(folded.filter("fold = 'train'").drop("fold"), neg_ratio, seed)
     val = folded.filter("fold = 'val'").drop("fold")
     x_train = store_table(features.pair_features(train, profiles.rows, schema, profiles.tokens), "train")
     x_val = store_table(features.pair_features(val, profiles.rows, schema, profiles.tokens), "val")
-    fitted = model.fit_gbt(x_train, schema.feature_names, x_val, seed=seed, **gbt)
+    boosted = boosting.fit_boosted(x_train, schema.feature_names, x_val, seed=seed, **gbt)
+    fitted = boosted.fitted
     predicted = store_table(
         model.predict(fitted, x_val).select("profile_id_1", "profile_id_2", "is_match", "prob_match"), "predicted"
     )
@@ -137,4 +150,4 @@ def run_training(
         .join(F.broadcast(evaluate.average_precision(curve)))
         .join(F.broadcast(recall.select(F.col("recall").alias("blocking_recall"))))
     )
-    return Training(fitted, predicted, record)
+    return Training(fitted, predicted, record, boosted.metrics)

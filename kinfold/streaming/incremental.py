@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_SCHEMA, MAX_BLOCK_PROFILES, SITE_STOP_DF, ProfileSchema
+from ..config import DEFAULT_SCHEMA, ProfileSchema
 from ..functions.normalize import email_domain
 from ..operators.blocking import prune_blocks
 from ..operators.collapse import last_known, site_tokens
@@ -76,8 +76,8 @@ def stream_tokens(flat: DataFrame, schema: ProfileSchema = DEFAULT_SCHEMA) -> Da
 def new_pairs(
     changed_keys: DataFrame,
     stored_keys: DataFrame,
-    max_block: int = MAX_BLOCK_PROFILES,
-    stop_df: int = SITE_STOP_DF,
+    max_block: int,
+    stop_df: int,
     seed: int = 0,
 ) -> DataFrame:
     """Candidate pairs with at least one changed profile.

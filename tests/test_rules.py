@@ -103,18 +103,18 @@ def test_token_sort_counts_repeats(spark):
 @pytest.mark.parametrize("n_sites,kept", [(150, 150), (151, 0)])
 def test_stop_limit(spark, n_sites, kept):
     keys = spark.range(n_sites).select(F.lit("site::x").alias("block_key"), F.col("id").cast("string").alias("profile_id"))
-    assert blocking.prune_blocks(keys).count() == kept
+    assert blocking.prune_blocks(keys, 300, 150).count() == kept
 
 
 def test_block_cap_and_lone_members(spark):
     keys = spark.range(1000).select(F.lit("dom::x").alias("block_key"), F.col("id").cast("string").alias("profile_id"))
     lone = spark.createDataFrame([("dom::y", "1")], keys.schema)
-    assert blocking.prune_blocks(keys.unionByName(lone)).groupBy("block_key").count().collect()[0][1] == 300
+    assert blocking.prune_blocks(keys.unionByName(lone), 300, 150).groupBy("block_key").count().collect()[0][1] == 300
 
 
 def test_block_cap_limits_rows_before_the_shuffle(spark):
     keys = spark.range(1000).select((F.col("id") % 3).cast("string").alias("block_key"), F.col("id").cast("string").alias("profile_id"))
-    plan = blocking.prune_blocks(keys)._jdf.queryExecution().executedPlan().toString()
+    plan = blocking.prune_blocks(keys, 300, 150)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
 
 

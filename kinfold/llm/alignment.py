@@ -45,9 +45,9 @@ BUCKETS = 256
 FAN = 16
 TABLE_BYTES = 256_000_000
 GROUP_CHARS = 2_000_000
-CACHED_SEGMENTS = 350_000
+CACHED_SEGMENTS = 500_000
 CACHED_TOKENS = 4_000_000
-CACHED_WORDS = 150_000
+CACHED_WORDS = 250_000
 DOCS_AT_ONCE = 400
 SEGMENTS_AT_ONCE = 20_000
 LINES_AT_ONCE = 500

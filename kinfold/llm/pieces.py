@@ -13,8 +13,9 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+# Lower-case forms of Latin letters, some of which lie behind the range.
+LETTERS = "a-zß-öø-ɏ" + "".join(sorted({chr(c).lower() for c in range(0xC0, 0x250) if c != 0x130 and chr(c).lower() > "ɏ"}))
 # The splitting pattern of the word tokenizer, for lower-cased Latin text.
-LETTERS = "a-zß-öø-ɏⱥⱦ"
 CUT = re.compile(rf"[{LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s{LETTERS}0-9]+")
 PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-įı-ɏ]*").fullmatch
 # First letters of contractions of two letters.

@@ -25,7 +25,7 @@ import functools
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,8 +42,6 @@ SHARD_BYTES = 16_000_000
 END_ID = 2
 CACHED_WORDS = 800_000
 CACHED_PIECES = 300_000
-WORDS_AT_ONCE = 5_000
-GROUP_CHARS = 4_000_000
 MAGIC = b"S8B1"
 HEADER = struct.Struct("<4sIQQQQ")
 # Ids and bits per selector of Simple-8b; selector 0 is the escape.
@@ -163,6 +161,23 @@ def segments(content: bytes) -> Iterator[tuple[int, int, list, np.ndarray, np.nd
         at += 1
 
 
+class Remembered(dict):
+    """Values made when first asked for. When too many are held, those in use come back from the older half, the others go with it."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        self[key] = found = self.make(key) if found is None else found
+        return found
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Ids of whole texts. The tokenizer splits at white space first, so each different word is encoded once and texts are put
     together. New plain words are cut as the tokenizer cuts them, and each different piece goes to its model once; other words go through all its
@@ -179,71 +194,50 @@ class WordEncoder:
         self.special = [t.content for t in added.values()]
         self.mark = next(((t.content, i) for i, t in added.items() if t.special), None)
         self.split = re.compile(r"[^ \t-\r]+").findall
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = Remembered(self._word, CACHED_WORDS)
+        self.pieces = Remembered(self._piece, CACHED_PIECES)
         self.letters = byte_letters()
         self.model = self.tokenizer.model
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        at = 0
-        while at < len(texts):
-            group: list[str] = []
-            chars = 0
-            while at < len(texts) and (chars < GROUP_CHARS or not group):
-                group.append(texts[at])
-                chars += len(texts[at])
-                at += 1
-            yield from self._encode(group)
+        word = self.words.__getitem__
+        for text in texts:
+            if any(s in text for s in self.special):
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                continue
+            if PLAIN(text):
+                # No other white space than ASCII's, so the faster split agrees.
+                words = text.split()
+            else:
+                words = self.split(text)
+                self._learn(list({w for w in words if w not in self.words and not PLAIN(w)}))
+            yield np.frombuffer(b"".join(map(word, words)), np.uint32)
+            self.words.age()
+            self.pieces.age()
+
+    def _word(self, word: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, CUT.findall(word.lower())))
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            shown = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
-            found = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(shown)], np.uint32).tobytes()
-        return found
+        shown = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if PLAIN(w)]
-        self.known.update((w, b"".join(map(self._piece, CUT.findall(w.lower())))) for w in plain)
-        if len(self.pieces) > CACHED_PIECES:
-            self.pieces = {}
-        if len(plain) < len(words):
-            self._learn_others([w for w in words if not PLAIN(w)])
-
-    def _learn_others(self, words: list[str]) -> None:
         """Encode words in one text, held apart by a special token, of which they are free."""
+        if not words:
+            return
         if self.mark is None:
             found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-            self.known.update((w, np.array(x, np.uint32).tobytes()) for w, x in zip(words, found))
+            self.words.update((w, np.array(x, np.uint32).tobytes()) for w, x in zip(words, found))
             return
         [found] = self.tokenizer.encode_batch_fast([f" {self.mark[0]} ".join(words)], add_special_tokens=False)
         ids = np.array(found.ids, np.uint32)
         ends = np.append(np.flatnonzero(ids == self.mark[1]), len(ids))
         packed, start = ids.tobytes(), 0
         for w, end in zip(words, (4 * ends).tolist()):
-            self.known[w] = packed[start:end]
+            self.words[w] = packed[start:end]
             start = end + 4
 
-    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        whole = [any(s in text for s in self.special) for text in texts]
-        # Plain texts have no other white space than ASCII's, so the faster split agrees.
-        split = [[] if w else text.split() if PLAIN(text) else self.split(text) for w, text in zip(whole, texts)]
-        if len(self.known) > CACHED_WORDS:
-            # Words in use come back from the older half, the others go with it.
-            self.older, self.known = self.known, {}
-        wanted = set().union(*split).difference(self.known)
-        again = wanted.intersection(self.older)
-        self.known.update((w, self.older[w]) for w in again)
-        new = list(wanted - again)
-        for i in range(0, len(new), WORDS_AT_ONCE):
-            self._learn(new[i : i + WORDS_AT_ONCE])
-        for w, text, words in zip(whole, texts, split):
-            if w:
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            else:
-                yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
-
 
 @functools.lru_cache(1)
 def encoder_of(path: str) -> WordEncoder:

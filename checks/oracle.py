@@ -57,6 +57,46 @@ def components(edges: str, nodes: str, name: str) -> dict[str, tuple[list[str],
     }
 
 
+def average_linkage(pairs: str, nodes: str, levels: str, name: str) -> dict[str, tuple[list[str], str]]:
+    """One merge at a time: the pair of clusters with the highest mean similarity, of equal ones the smallest; states follow each other."""
+    unit = 1 << 30
+    mean = "w / (na * nb)::double"
+    best = f"""(select t, a, b, na + nb as n from (
+        select *, row_number() over (partition by t order by {mean} desc, a, b) as r from {name} where kind = 'e')
+      where r = 1 and {mean} > floor(t * {unit} + 0.5))"""
+    return {
+        f"{name}_nodes": ([nodes, levels], f"select t, id from {nodes}, {levels}"),
+        name: (
+            [pairs, levels],
+            f"""select 'e' as kind, t, profile_id_1 as a, profile_id_2 as b, floor(similarity * {unit} + 0.5)::bigint as w,
+              1::bigint as na, 1::bigint as nb from {pairs} join {levels} on similarity >= t
+            union all
+            select * from (
+              select 'e' as kind, t, least(p, q) as a, greatest(p, q) as b, sum(w)::bigint as w,
+                max(case when p < q then np else nq end)::bigint as na, max(case when p < q then nq else np end)::bigint as nb
+              from (select e.t, case when e.a = m.b then m.a else e.a end as p, case when e.b = m.b then m.a else e.b end as q, e.w,
+                  case when e.a = m.a or e.a = m.b then m.n else e.na end as np,
+                  case when e.b = m.a or e.b = m.b then m.n else e.nb end as nq
+                from {name} e join {best} m on m.t = e.t where e.kind = 'e' and not (e.a = m.a and e.b = m.b))
+              group by t, least(p, q), greatest(p, q)
+              union all select 'm', t, a, b, 0::bigint, 0::bigint, 0::bigint from {best})""",
+        ),
+        f"{name}_chain": (
+            [name, f"{name}_nodes"],
+            f"""select t, id, id as lab from {name}_nodes union all
+            select c.t, c.id, m.a from {name}_chain c join {name} m on m.kind = 'm' and m.t = c.t and m.b = c.lab""",
+        ),
+        f"{name}_clusters": (
+            [f"{name}_chain"],
+            f"select t as threshold, id as profile_id, min(lab) as cluster_id from {name}_chain group by 1, 2",
+        ),
+        f"{name}_documents": (
+            [f"{name}_clusters", "dmember"],
+            f"select threshold, m.profile_id, cluster_id from {name}_clusters c join dmember m on m.class_id = c.profile_id",
+        ),
+    }
+
+
 def kiloblocks(keys: str, max_block: int, stop: int) -> str:
     return f"""select block_key, profile_id from (
       select *, count(*) over (partition by block_key) as s,

@@ -40,10 +40,9 @@ REVIEW_THRESHOLD = 0.95
 MAX_BLOCK_PROFILES = 300
 SITE_STOP_DF = 150
 MAX_PAIRS_PER_BLOCK = 10_000
+NAME_PAIRS_PER_CLASS = 50_000
 SWEEP_THRESHOLDS = (0.05, 0.10, 0.15, 0.20, 0.25, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90)
 SECOND_CHOICE_THRESHOLDS = (0.40, 0.50, 0.60, 0.70, 0.80, 0.90)
-# End of fixed values.
-
 BASE_COLS = ("first_name", "last_name", "email", "phone", "birthday", "sex")
 NP_KEYS = ("device", "browser", "osfamily", "subdivision_1_iso_code", "geoname_id")
 RT_KEYS = (
@@ -58,6 +57,7 @@ RT_KEYS = (
     "visit_count",
 )
 FS_SCALAR_KEYS = ("is_man", "is_woman", "is_gmail", "postman_response_90")
+# End of fixed values.
 
 
 @dataclass(frozen=True)

@@ -105,15 +105,15 @@ def name_pairs(
     keys: DataFrame,
     records: DataFrame,
     min_similarity: float = 0.6,
-    max_positive: int | None = 50_000,
-    max_negative: int | None = 50_000,
+    max_positive: int | None = None,
+    max_negative: int | None = None,
     seed: int = 42,
     null_text: str | None = None,
 ) -> DataFrame:
     """name pairs inside blocks: all true pairs, others from ``min_similarity`` on.
 
-    The published balance of at most 50,000 pairs per class is a md5-ordered sample
-    of the kept pairs; None keeps all of them.
+    All are kept unless a limit per class is given: then they are a md5-ordered sample (published balance:
+    ``NAME_PAIRS_PER_CLASS``).
     """
     named = keys.join(
         records.select(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -22,16 +22,23 @@ from .components import star_edges
 from .skew import lookup_join
 
 MAX_ROUNDS = 10_000
+#: Similarities are added as whole numbers of this size, so sums don't depend on their order.
+SCALE = 1 << 30
 # Components up to this many edges merge inside one task, larger ones in Spark rounds.
 LOCAL_EDGES = 100_000
 
 
+def scaled(similarity: Column) -> Column:
+    return F.floor(similarity * SCALE + 0.5)
+
+
 def merge_rounds(a: np.ndarray, b: np.ndarray, w: np.ndarray, t: float, n: int) -> np.ndarray:
-    """Cluster label of ``n`` nodes; ``a < b`` are edge ends, ``w`` summed similarities."""
+    """Cluster label of ``n`` nodes; ``a < b`` are edge ends, ``w`` summed similarities in units of 1 / ``SCALE``."""
+    limit = np.floor(t * SCALE + 0.5)
     label, size = np.arange(n), np.ones(n)
     while len(a):
         mean = w / (size[a] * size[b])
-        close = mean > t
+        close = mean > limit
         if not close.any():
             break
         order = np.lexsort((b[close], a[close], -mean[close]))
@@ -87,12 +94,12 @@ def _relabel(edges: DataFrame, moves: DataFrame, side: str, n: int) -> DataFrame
 def _distributed(edges: DataFrame) -> DataFrame:
     """The same rounds as Spark jobs, for components too large for one task."""
     one = F.lit(1).cast("bigint")
-    edges = cut_lineage(edges.select("a", "b", "w", one.alias("na"), one.alias("nb")))
+    edges = cut_lineage(edges.select("root", "a", "b", "w", one.alias("na"), one.alias("nb")))
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     members = cut_lineage(nodes.select("node", F.col("node").alias("cluster")))
     n_members = members.count()
     for _ in range(MAX_ROUNDS):
-        close = edges.withColumn("s", F.col("w") / (F.col("na") * F.col("nb"))).filter("s > a.t")
+        close = edges.withColumn("s", F.col("w") / (F.col("na") * F.col("nb"))).filter(F.col("s") > scaled(F.col("a.t")))
         ends = close.select(
             F.explode(F.array("a", "b")).alias("u"),
             F.struct((-F.col("s")).alias("d"), "a", "b", (F.col("na") + F.col("nb")).alias("size")).alias("e"),
@@ -104,6 +111,8 @@ def _distributed(edges: DataFrame) -> DataFrame:
         )
         if moves.isEmpty():
             return members
+        # Components without a pair above the limit are finished; there are few large components.
+        edges = cut_lineage(edges.join(close.select("root").distinct(), "root", "left_semi"))
         n_edges = edges.count()
         half = _relabel(edges, moves, "a", n_edges)
         if n_edges >= skew.SALT_FROM:
@@ -112,13 +121,14 @@ def _distributed(edges: DataFrame) -> DataFrame:
         ordered = F.col("a") < F.col("b")
         edges = cut_lineage(
             moved.select(
+                "root",
                 F.least("a", "b").alias("a"),
                 F.greatest("a", "b").alias("b"),
                 "w",
                 F.when(ordered, F.col("na")).otherwise(F.col("nb")).alias("na"),
                 F.when(ordered, F.col("nb")).otherwise(F.col("na")).alias("nb"),
             )
-            .groupBy("a", "b")
+            .groupBy("root", "a", "b")
             .agg(F.sum("w").alias("w"), F.max("na").alias("na"), F.max("nb").alias("nb"))
         )
         lookup = moves.select(F.col("old").alias("cluster"), "new")
@@ -144,7 +154,7 @@ def average_linkage(pairs: DataFrame, thresholds: Sequence[float], nodes: DataFr
         wide.select(
             F.struct("t", F.least("profile_id_1", "profile_id_2").alias("id")).alias("a"),
             F.struct("t", F.greatest("profile_id_1", "profile_id_2").alias("id")).alias("b"),
-            F.col("similarity").cast("double").alias("w"),
+            scaled(F.col("similarity").cast("double")).alias("w"),
         )
     )
     n_edges = edges.count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,14 +24,18 @@ def read_stream(spark: SparkSession, folder: str, schema, files: str = "*.parque
     )
 
 
-def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "update") -> None:
+def drain(
+    stream: DataFrame, out: str, checkpoint: str, mode: str = "update", after: Callable[[int], None] | None = None
+) -> None:
     """Process what is available and append each micro-batch to ``out``.
 
-    A batch writes its own folder, so a repeated batch replaces itself.
+    A batch writes its own folder, so a repeated batch replaces itself. ``after`` is called with the number of each written batch.
     """
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        if after:
+            after(number)
 
     query = (
         stream.writeStream.outputMode(mode)
@@ -58,6 +62,18 @@ def run_available(stream: DataFrame, keys: Sequence[str], mode: str = "update")
     return latest_rows(spark, out, keys)
 
 
+def score_stream(
+    requests: DataFrame, scorer: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, after: Callable[[int], None] | None = None
+) -> DataFrame:
+    """M6: score requests as they come; returns the decisions written so far.
+
+    ``scorer`` turns a table of requests into decisions, e.g. ``model.score_maps`` with a fitted model. Every decision is in ``out``
+    exactly once: files read are in the checkpoint, and a batch that is repeated after a failure writes the same folder again.
+    """
+    drain(scorer(requests), out, checkpoint, "append", after)
+    return requests.sparkSession.read.parquet(out).drop("batch")
+
+
 def stream_profiles(flat: DataFrame, schema: ProfileSchema = DEFAULT_SCHEMA, tiebreak: str = "event_id") -> DataFrame:
     """Scalar columns of the profile table as a stream of changed profiles.
 

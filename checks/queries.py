@@ -686,6 +686,37 @@ def distinct_counts(spark, sf):
     return profiling.distinct_counts(raw(spark, sf), ["profile_id", "entity_id"])
 
 
+WEEK = "coalesce(strftime(date_trunc('week', created_at), '%Y-%m-%d'), 'unknown')"
+
+
+@query(
+    f"""select week, count(distinct profile_id) as n_exact, true as week_is_close, (select count(distinct profile_id) from raw) as n_exact_all,
+    true as all_are_close from (select *, {WEEK} as week from raw) group by 1""",
+    "raw",
+)
+def distinct_counts_by_week(spark, sf):
+    """Sketches of the weekly snapshots, each week read on its own, and their union; close means within four standard errors."""
+    path = io_path(spark, "weekly-profiles")
+    io.write_weekly_snapshot(raw(spark, sf).select("created_at", "profile_id"), path)
+    rows = spark.read.schema("created_at timestamp_ntz, profile_id string, week string").parquet(path)
+    weeks = [r["week"] for r in rows.select("week").distinct().collect()]
+    parts = None
+    for week in weeks:
+        one = profiling.distinct_sketches(io.read_week(spark, path, week), ["profile_id"]).withColumn("week", F.lit(week))
+        parts = one if parts is None else parts.unionByName(one)
+    kept = store(parts, "sketches")
+    each = profiling.merged_distinct_counts(kept, ["profile_id"], ["week"])
+    # Single rows.
+    both = profiling.merged_distinct_counts(kept, ["profile_id"]).select(F.col("n_profile_id").alias("n_all"))
+    exact_all = rows.agg(F.count_distinct("profile_id").alias("n_exact_all"))
+    exact = rows.groupBy("week").agg(F.count_distinct("profile_id").alias("n_exact"))
+    bound = 4 * 1.04 / 2 ** (profiling.SKETCH_BITS / 2)
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.lit(1.0), F.col(b) * bound)
+    return exact.join(each, "week").join(F.broadcast(exact_all)).join(F.broadcast(both)).select(
+        "week", "n_exact", close("n_profile_id", "n_exact").alias("week_is_close"), "n_exact_all", close("n_all", "n_exact_all").alias("all_are_close")
+    )
+
+
 @query()
 def distinct_counts_approx(spark, sf):
     """A6 with sketches."""

@@ -10,6 +10,7 @@ from ..functions import similarity as sim
 from ..functions.normalize import display_name
 from .blocking import attach_both
 from .collapse import set_sizes
+from ..session import store
 from .skew import hash_sample
 
 IDS = ["profile_id_1", "profile_id_2"]
@@ -135,6 +136,9 @@ def name_pairs(
         )
         .filter((F.col("label") == 1) | (F.col("similarity") >= min_similarity))
     )
+    if max_positive is not None or max_negative is not None:
+        # Read once for each class.
+        both = store(both, "name-pairs")
     out = []
     for label, cap in ((1, max_positive), (0, max_negative)):
         part = both.filter(F.col("label") == label)

@@ -84,6 +84,10 @@ def null_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*items)))
 
 
+#: Precision of distinct-count sketches: 2^14 registers, one standard error of 0.8 %.
+SKETCH_BITS = 14
+
+
 def duplicate_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     """A5: rows that repeat an earlier row in the subset; nulls are equal."""
     groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"))
@@ -96,6 +100,16 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = Fals
     return df.agg(*[count(F.col(c)).alias(f"n_{c}") for c in cols])
 
 
+def distinct_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), bits: int = SKETCH_BITS) -> DataFrame:
+    """A6, mergeable: one HLL sketch per column and group, e.g. per week; store them and add them up later."""
+    return df.groupBy(*by).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), bits).alias(c) for c in cols])
+
+
+def merged_distinct_counts(sketches: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """A6 from sketches of any groups: distinct values of all of them, off by about 1.04 / 2^(bits / 2) of the count (one standard error)."""
+    return sketches.groupBy(*by).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"n_{c}") for c in cols])
+
+
 def distinct_per_entity(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     """Distinct known values per entity. Each value meets its entity once before counting."""
     return (

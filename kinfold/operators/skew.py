@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, store
 
 HOT_SHARE = 1000
 SALTS = 32
 # Below this many rows a hot key is no burden and finding it costs more than it saves.
 SALT_FROM = 1_000_000
+# Bits of the hash that orders a sample, bits read per refinement, rows ranked by one task.
+HASH_BITS, STEP_BITS = 48, 12
+RANKED_AT_ONCE = 100_000
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -130,34 +133,34 @@ def running_totals(
     return out
 
 
-def hash_sample(
-    df: DataFrame, ids: Sequence[str], seed: int, n: Column | int, buckets: int = 4096
-) -> DataFrame:
+def hash_sample(df: DataFrame, ids: Sequence[str], seed: int, n: Column | int, at_once: int = RANKED_AT_ONCE) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, those with the smallest md5 of (seed, ids).
 
-    ``n`` may be a column that holds the same value on all rows. Rows are counted in
-    ``buckets`` ranges of the hash; only the range where the n-th row falls is ranked.
+    ``n`` may be a column that holds the same value on all rows. The input is stored once. Rows are counted in
+    ranges of the hash; the range where the n-th row falls is counted again in finer ranges until at most ``at_once`` rows are left in it, and
+    only these are ranked. Rows that agree in all bits are one range however many they are: they have the same ids.
     """
-    unit = hash_unit(seed, *ids)
-    keyed = df.withColumn("_u", unit).withColumn("_b", F.floor(F.col("_u") * buckets).cast("int"))
-    limit = n if isinstance(n, Column) else F.lit(n)
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"), F.max(limit).alias("_n"))
-    # At most ``buckets`` rows from here on.
-    before = Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    quota = counts.select(
-        "_b",
-        "_c",
-        F.greatest(
-            F.lit(0), F.least(F.col("_c"), F.col("_n") - F.coalesce(F.sum("_c").over(before), F.lit(0)))
-        ).alias("_q"),
-    ).filter("_q > 0")
-    tagged = keyed.join(F.broadcast(quota), "_b")
-    whole = tagged.filter(F.col("_q") == F.col("_c")).select(*df.columns)
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_u", *ids))
-    cut = (
-        tagged.filter(F.col("_q") < F.col("_c"))
-        .withColumn("_r", rank)
-        .filter(F.col("_r") <= F.col("_q"))
-        .select(*df.columns)
-    )
-    return whole.unionByName(cut)
+    number = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids])), 1, HASH_BITS // 4), 16, 10)
+    limit = (n if isinstance(n, Column) else F.lit(n)).cast("bigint")
+    keyed = store(df.withColumn("_h", number.cast("bigint")).withColumn("_n", limit), "hashed")
+    need = keyed.agg(F.max("_n")).first()[0] or 0
+    # The range [start, start + 2^bits) holds the n-th row; rows before it are all taken.
+    start, bits, rows = 0, HASH_BITS, None
+    while bits and (rows is None or rows > at_once):
+        bits -= STEP_BITS
+        inside = keyed.filter((F.col("_h") >= start) & (F.col("_h") < start + (1 << (bits + STEP_BITS))))
+        # At most 2^STEP_BITS rows.
+        counts = sorted(tuple(r) for r in inside.groupBy(F.shiftright("_h", bits).alias("b")).agg(F.count(F.lit(1)).alias("c")).collect())
+        rows = 0
+        for b, rows in counts:
+            start = b << bits
+            if need < rows:
+                break
+            need -= rows
+        else:
+            return keyed.select(*df.columns)
+    whole = keyed.filter(F.col("_h") < start)
+    edge = keyed.filter((F.col("_h") >= start) & (F.col("_h") < start + (1 << bits)))
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_h", *ids))
+    cut = edge.withColumn("_r", rank).filter(F.col("_r") <= need)
+    return whole.select(*df.columns).unionByName(cut.select(*df.columns))

@@ -139,6 +139,8 @@ def write_weekly_snapshot(df: DataFrame, path: str, time_col: str = "created_at"
     """Profiles by week; writing a week again replaces only that week."""
     (
         df.withColumn("week", F.coalesce(week_of(F.col(time_col)), F.lit("unknown")))
+        # Rows of a week meet, a large week in several files.
+        .hint("rebalance", "week")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("week")
@@ -153,4 +155,4 @@ def read_week(spark: SparkSession, path: str, week: str) -> DataFrame:
 
 def append_decisions(log: DataFrame, path: str) -> None:
     """Append to the decision log, by day."""
-    log.withColumn("day", F.to_date("ts")).write.mode("append").partitionBy("day").parquet(path)
+    log.withColumn("day", F.to_date("ts")).hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)

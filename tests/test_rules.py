@@ -196,3 +196,27 @@ def test_bcubed_of_equal_partitions(spark):
     people = spark.createDataFrame([("a", "e"), ("b", "e"), ("c", "f")], "profile_id string, entity_id string")
     clusters = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "profile_id string, cluster_id int")
     assert tuple(evaluate.bcubed(clusters, people).first()) == (1.0, 1.0, 1.0)
+
+
+@pytest.mark.parametrize("n", [0, 1, 700, 5000, 6000])
+@pytest.mark.parametrize("at_once", [100_000, 3])
+def test_sample_takes_the_smallest_hashes(spark, n, at_once):
+    import hashlib
+
+    df = spark.range(5000).select(F.col("id").cast("string").alias("i"), F.lit(1).alias("v")).repartition(4)
+    order = sorted(range(5000), key=lambda i: hashlib.md5(f"7|{i}".encode()).hexdigest()[:12])
+    got = sorted(int(r["i"]) for r in skew.hash_sample(df, ["i"], 7, n, at_once).collect())
+    assert got == sorted(order[:n])
+    by_column = skew.hash_sample(df.withColumn("k", F.lit(n)), ["i"], 7, F.col("k"), at_once)
+    assert sorted(int(r["i"]) for r in by_column.collect()) == got
+
+
+def test_sample_ranks_few_rows(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("i"))
+    plan = skew.hash_sample(df, ["i"], 1, 10_000, 50)._jdf.queryExecution().optimizedPlan().toString()
+    low, high = (int(x) for x in __import__("re").search(r"_h#\d+L >= (\d+)\) AND \(_h#\d+L < (\d+)\)", plan).groups())
+    inside = df.filter(F.conv(F.substring(F.md5(F.concat(F.lit("1|"), "i")), 1, 12), 16, 10).cast("bigint").between(low, high - 1)).count()
+    assert 0 < inside <= 50
+    # Repeated rows can't be told apart; the number is still exact.
+    same = spark.range(3000).select(F.lit("x").alias("i"))
+    assert skew.hash_sample(same, ["i"], 1, 1234, 50).count() == 1234

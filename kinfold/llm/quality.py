@@ -219,6 +219,13 @@ def _patterns(measured: DataFrame, counts: str) -> DataFrame:
     return measured.filter(~base_failed(F.col(counts))).groupBy(vote_pattern(F.col(counts)).alias("pattern")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def pattern_of(text: Column) -> Column:
+    """The vote pattern of a text, -1 where the base rule rejects it. Texts are measured once however often the counts are used."""
+    pattern = let(quality_counts(text), lambda c: F.when(base_failed(c), -1).otherwise(vote_pattern(c)))
+    # Never null: Spark adds no test for null keys, which would measure the text again below a join.
+    return F.coalesce(pattern, F.lit(-1))
+
+
 def judge_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: id, counts, base_failed, posterior, kept. Texts are read once."""
     measured = store(docs.select(F.col(doc_id).alias("doc_id"), quality_counts(F.col(text)).alias("c")), "quality")
@@ -243,11 +250,10 @@ def filter_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     Texts are measured twice, once for the pattern counts and once for the decision: that costs less
     than a shuffle of the texts, and needs no unique id.
     """
-    model = store(pattern_posteriors(_patterns(docs.select(quality_counts(F.col(text)).alias("c")), "c")), "quality-model")
-    names = docs.columns
-    inner = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), quality_counts(F.col(text)).alias("_c"))
+    # Stored before it is filtered: a filter on the pattern would be moved to the texts and measure them twice.
+    counted = store(docs.select(pattern_of(F.col(text)).alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "quality-patterns")
+    model = store(pattern_posteriors(counted.filter("pattern >= 0")), "quality-model")
+    inner = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), pattern_of(F.col(text)).alias("_own"))
     good = model.filter(F.col("posterior") >= KEEP_FROM).select(F.col("pattern").alias("_pattern"))
-    kept = inner.filter(~base_failed(F.col("_c"))).join(
-        F.broadcast(good), vote_pattern(F.col("_c")) == F.col("_pattern"), "left_semi"
-    )
-    return kept.select("_row.*")
+    # At most 3^rules rows, which bounds the broadcast.
+    return inner.join(F.broadcast(good), F.col("_own") == F.col("_pattern"), "left_semi").select("_row.*")

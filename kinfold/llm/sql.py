@@ -59,39 +59,67 @@ having count(*) * 5 >= s.n_shingles * 4
 
 LINES_SQL = r"""
 with raw as (
-  select doc_id, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) as no from documents),
+  select row_number() over () as row, coalesce('id ' || doc_id, 'none') as doc, doc_id, text from documents),
+split as (
+  select row, doc, unnest(string_split(text, chr(10))) as raw, generate_subscripts(string_split(text, chr(10)), 1) as no from raw),
+words as (select *, regexp_extract_all(raw, '[^\x20\x09-\x0D]+') as w from split),
+masked as (
+  select *, list_transform(w, lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end) as m from words),
 lines as (
-  select doc_id, no, raw,
-         regexp_extract_all(regexp_replace(raw, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[^\x20\x09-\x0D]+') as tokens
-  from raw),
-parsed as (
-  select doc_id, no, raw, array_to_string(tokens, ' ') as line,
-         cast(len(tokens) as varchar) || ' ' || array_to_string(tokens[1:4], ' ') as leaf, tokens
-  from lines),
-per_line as (select leaf, line, count(distinct doc_id) as n from parsed where len(tokens) > 0 group by 1, 2),
-often as (select leaf from per_line group by leaf having sum(n) >= 10),
-looked as (select leaf, line, n, string_split(line, ' ') as tokens from per_line where leaf in (select leaf from often)),
-positions as (select leaf, line, n, unnest(tokens) as token, generate_subscripts(tokens, 1) as pos from looked),
-weighed as (select leaf, pos, token, sum(n) as n from positions group by 1, 2, 3),
-numbered as (
-  select leaf, pos, token, n, sum(n) over (partition by leaf, pos) as all_n,
-         row_number() over (partition by leaf, pos order by n desc, token desc) as r
-  from weighed),
-templates as (select leaf, pos, case when n * 2 >= all_n then token else '<*>' end as t from numbered where r = 1),
-members as (
-  select p.leaf, p.line from positions p join templates t on p.leaf = t.leaf and p.pos = t.pos
-  group by p.leaf, p.line
-  having sum(case when p.token = t.t then 1 else 0 end) >= count(*) * 0.5),
+  select row, doc, no, raw, case when len(list_filter(m, lambda x: x = '<*>')) > len(m) * 0.5 then w else m end as tokens from masked),
+keyed as (select *, cast(len(tokens) as varchar) || ' ' || array_to_string(tokens[1:4], ' ') as leaf, array_to_string(tokens, ' ') as line from lines),
+per_line as (
+  select leaf, line, any_value(tokens) as tokens, count(distinct doc) as n_docs from keyed where len(tokens) > 0 group by leaf, line),
+often as (select leaf from per_line group by leaf having sum(n_docs) >= 10 and min(n_docs) < 10),
+looked as (select * from per_line where leaf in (select leaf from often)),
+cells as (
+  select leaf, line, n_docs, 'leaf ' || leaf as cell, tokens[5:] as body from looked where len(tokens) > 4
+  union all
+  select leaf, line, n_docs, 'next ' || leaf || chr(10) || array_to_string(tokens[5:8], ' '), tokens[9:] from looked where len(tokens) > 8
+  union all
+  select leaf, line, n_docs, 'last ' || leaf || chr(10) || array_to_string(tokens[-4:], ' '), tokens[5:len(tokens) - 4] from looked where len(tokens) > 8),
+crowded as (select cell from cells group by cell having sum(n_docs) >= 10 and min(n_docs) < 10),
+entries as (
+  select leaf, line, n_docs, cell, unnest(body) as token, generate_subscripts(body, 1) as pos
+  from cells where cell in (select cell from crowded)),
+weighed as (select cell, pos, token, sum(n_docs) as n from entries group by cell, pos, token),
+ranked as (
+  select *, sum(n) over (partition by cell, pos) as all_n, row_number() over (partition by cell, pos order by n desc, token desc) as r from weighed),
+marks as (
+  select cell, pos, token, r = 1 and n * 2 >= all_n as top,
+         case when n >= 10 then cast(floor(log2(n / 10.0::double) / 2) as integer) else -1 end as level
+  from ranked),
+parts as (
+  select e.leaf, e.line, e.cell, e.pos, e.token, m.top, m.level, e.token <> '<*>' as is_real
+  from entries e join marks m on e.cell = m.cell and e.pos = m.pos and e.token = m.token),
+sized as (
+  select leaf, line, cell, count(*) filter (where is_real) as n_real, count(*) filter (where is_real and top) as n_top
+  from parts group by leaf, line, cell having count(*) filter (where is_real) > 0),
+levels as (select distinct leaf, line, cell, level as at from parts where is_real and level >= 0),
+fixed as (
+  select p.leaf, p.line, p.cell, l.at,
+         count(*) filter (where p.is_real and p.level >= l.at) as n_fixed,
+         string_agg(case when p.level >= l.at then p.token else '<*>' end, ' ' order by p.pos) as shape
+  from parts p join levels l on p.leaf = l.leaf and p.line = l.line and p.cell = l.cell group by p.leaf, p.line, p.cell, l.at),
+groups as (
+  select leaf, line, 'most ' || cell as grp from sized where n_top >= n_real * 0.5
+  union
+  select f.leaf, f.line, 'equal ' || f.cell || chr(10) || chr(10) || f.shape
+  from fixed f join sized s on s.leaf = f.leaf and s.line = f.line and s.cell = f.cell where f.n_fixed >= s.n_real * 0.5),
 recurring as (
-  select p.leaf from parsed p join members m on p.leaf = m.leaf and p.line = m.line
-  group by p.leaf having count(distinct p.doc_id) >= 10),
-bad as (select leaf, line from members where leaf in (select leaf from recurring)),
+  select g.leaf, g.grp from groups g join keyed k on k.leaf = g.leaf and k.line = g.line
+  group by g.leaf, g.grp having count(distinct k.doc) >= 10),
+bad as (
+  select leaf, line from per_line where n_docs >= 10
+  union
+  select g.leaf, g.line from groups g join recurring r on r.leaf = g.leaf and r.grp = g.grp),
 flagged as (
-  select p.doc_id, p.no, p.raw, b.line is not null as dropped
-  from parsed p left join bad b on p.leaf = b.leaf and p.line = b.line)
-select doc_id, count(*) as n_lines, cast(sum(case when dropped then 1 else 0 end) as bigint) as n_dropped,
-       md5(coalesce(string_agg(case when dropped then null else raw end, chr(10) order by no), '')) as kept_md5
-from flagged group by doc_id
+  select k.row, k.no, k.raw, b.line is not null as dropped from keyed k left join bad b on k.leaf = b.leaf and k.line = b.line),
+cleaned as (
+  select row, count(*) as n_lines, cast(count(*) filter (where dropped) as bigint) as n_dropped,
+         md5(coalesce(string_agg(case when dropped then null else raw end, chr(10) order by no), '')) as kept_md5
+  from flagged group by row)
+select r.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_dropped, 0) as n_dropped, kept_md5 from raw r left join cleaned c on c.row = r.row
 """
 
 MERKLE_SQL = r"""

@@ -58,6 +58,7 @@ MORE_HUBS = 4
 FEW_PAIRS = 1
 DOCS_AT_ONCE = 2_000
 ROWS_AT_ONCE = 200_000
+IDS_SENT = 1_000_000
 MOST_DF = 2**31 - 1
 
 
@@ -201,15 +202,16 @@ def _as_arrow(send):
     return run
 
 
-def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int, total: int) -> DataFrame:
+def shared_grams(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, k: int, total: int, n_ids: int) -> DataFrame:
     """Step 3: ``(cid, n, df, gram)`` rows of n-grams that two of the classes share.
 
-    ``ids`` has ``(doc_id, body, cid)``, one document of each class.
+    ``ids`` has ``(doc_id, body, cid)``, one document of each class. Up to ``IDS_SENT`` of them (24 bytes each) go to the texts, more meet
+    them in a shuffle.
     """
     fragments = total // FRAGMENT_TOKENS + 1
     wanted = ids.select(F.col("doc_id").alias("_id"), F.col("body").alias("_body"), F.col("cid").alias("_cid"))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _body(text).alias("body"), F.col(text).alias("text")).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
+        F.broadcast(wanted) if n_ids <= IDS_SENT else wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("body") == F.col("_body"))
     ).select("_cid", "text")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
@@ -384,8 +386,8 @@ def _components(docs: DataFrame, doc_id: str, text: str, k: int, similar: tuple[
         sets.join(near, "cid").groupBy("cid").agg(_first("body").alias("f"), F.max("n").alias("n")).select("cid", "f.doc_id", "f.body", "n"),
         "jaccard-chosen",
     )
-    left = chosen.agg(F.sum("n")).first()[0] or 0
-    grams = shared_grams(docs, chosen, doc_id, text, k, left)
+    left = chosen.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("ids")).first()
+    grams = shared_grams(docs, chosen, doc_id, text, k, left["n"] or 0, left["ids"])
     classes = store(class_rows(grams, similar), "jaccard-classes")
     stars = class_links(classes, similar).select(F.col("hi").alias("cid"), "lo")
     known = sets.filter("n > 0").select("cid").distinct()

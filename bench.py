@@ -18,6 +18,7 @@ HEADLINE = [
     "inference_summary",
     "document_components",
     "average_linkage",
+    "linkage_sweep",
     "priority_chunks",
     "time_gaps",
     "describe_lines",

@@ -36,11 +36,8 @@ def _tagged(name: str, values: Column) -> Column:
     )
 
 
-def site_tokens(flat: DataFrame, site_sets: Sequence[str] = DEFAULT_SCHEMA.site_sets) -> DataFrame:
-    """C3 in long form: distinct ``(profile_id, set_col, token)``.
-
-    A profile's tokens are spread over the shuffle, however many it has.
-    """
+def site_entries(site_sets: Sequence[str]) -> Column:
+    """The known site sets of a row as ``(set_col, text)``; a lone flag is no set."""
 
     def joined(name: str) -> Column:
         text = F.col(name)
@@ -48,10 +45,17 @@ def site_tokens(flat: DataFrame, site_sets: Sequence[str] = DEFAULT_SCHEMA.site_
         entry = F.struct(F.lit(name).alias("set_col"), text.alias("text"))
         return F.when(text.isNotNull() & (text != "") & ~is_flag, entry)
 
-    entries = F.array_compact(F.array(*[joined(c) for c in site_sets]))
+    return F.array_compact(F.array(*[joined(c) for c in site_sets]))
+
+
+def site_tokens(flat: DataFrame, site_sets: Sequence[str] = DEFAULT_SCHEMA.site_sets) -> DataFrame:
+    """C3 in long form: distinct ``(profile_id, set_col, token)``.
+
+    A profile's tokens are spread over the shuffle, however many it has.
+    """
     return (
         flat.filter(F.col("profile_id").isNotNull())
-        .select("profile_id", F.explode(entries).alias("_e"))
+        .select("profile_id", F.explode(site_entries(site_sets)).alias("_e"))
         .select("profile_id", "_e.set_col", F.explode(F.split("_e.text", r"\|")).alias("token"))
         .distinct()
     )

@@ -6,7 +6,7 @@ from checks import compare, queries
 from checks.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"train_trees", "score_with_trees", "score_requests", "linkage_sweep"}
+SLOW = {"train_trees", "score_with_trees", "score_requests", "trained_inference"}
 
 
 @pytest.fixture(scope="module")

@@ -1050,7 +1050,7 @@ def compare_raw_values(spark, sf):
 @query("select profile_id_1, profile_id_2, prob_match, action from scored", "scored")
 def rule_scores(spark, sf):
     """M4, M5 with the rule score."""
-    return inference.score_pairs(fa_pairs(spark, sf), people(spark, sf), None, 0.8, 0.6)
+    return inference.score_pairs(fa_pairs(spark, sf), people(spark, sf), model.rule_score, 0.8, 0.6)
 
 
 # -- clusters ----------------------------------------------------------------------------

@@ -40,8 +40,8 @@ BLOCK = 1024
 SEGMENT_IDS = 1_000_000
 SHARD_BYTES = 16_000_000
 END_ID = 2
-CACHED_WORDS = 800_000
-CACHED_PIECES = 300_000
+CACHED_WORDS = 350_000
+CACHED_PIECES = 150_000
 MAGIC = b"S8B1"
 HEADER = struct.Struct("<4sIQQQQ")
 # Ids and bits per selector of Simple-8b; selector 0 is the escape.

@@ -58,6 +58,32 @@ def test_many_chunks_and_repeated_rows(spark, monkeypatch):
     assert sorted(map(tuple, pairs.collect())) == want
 
 
+def test_tokens_are_not_written_again(spark, monkeypatch):
+    """Steps write packed sets, no copy of the long table; tokens beyond the frequent ones give the same pairs."""
+    written, plain_store = [], setjoin.store
+
+    def store(df, name="table"):
+        out = plain_store(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(setjoin, "store", store)
+    rng = random.Random(9)
+    sets = {f"p{i:02}": {f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(rng.randint(5, 40))} for i in range(80)}
+    sets |= {f"q{i:02}": sets[f"p{i:02}"] for i in range(20)}
+    table = plain_store(spark.createDataFrame([(p, t) for p, s in sets.items() for t in s], "profile_id string, token string"))
+    classes, pairs = setjoin.similar_sets(table, 0.3)
+    want = sorted(map(tuple, pairs.collect()))
+    assert max(n for _, n in written) <= len(sets) < table.count() / 5
+    members = {r["profile_id"]: r["class_id"] for r in classes.collect()}
+    assert members == {p: min(q for q in sets if sets[q] == s) for p, s in sets.items()}
+    brute = [(p, q, len(sets[p] & sets[q])) for p in sets for q in sets if p < q and members[p] == p and members[q] == q]
+    assert [w[:3] for w in want] == sorted(x for x in brute if x[2] / len(sets[x[0]] | sets[x[1]]) >= 0.3)
+    for often in (0, 300):
+        monkeypatch.setattr(setjoin, "OFTEN_BYTES", often)
+        assert sorted(map(tuple, setjoin.similar_sets(table, 0.3)[1].collect())) == want
+
+
 def test_pairs_are_spread(spark, monkeypatch):
     monkeypatch.setattr(blocking, "PAIRS_PER_TASK", 50)
     rng = random.Random(2)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks import inputs
 from kinfold.config import ProfileSchema
 from kinfold.functions import normalize as n
 from kinfold.functions import parsing, similarity
@@ -220,3 +221,21 @@ def test_sample_ranks_few_rows(spark):
     # Repeated rows can't be told apart; the number is still exact.
     same = spark.range(3000).select(F.lit("x").alias("i"))
     assert skew.hash_sample(same, ["i"], 1, 1234, 50).count() == 1234
+
+
+def test_events_of_one_file_are_parsed_by_many_tasks(spark, tmp_path):
+    rows = [(i, i % 40, f'{{"k": {i % 9}}}') for i in range(400)]
+    table = spark.createDataFrame(rows, "event_id bigint, user_id bigint, props string")
+    table = table.withColumn("ts", F.lit("2024-01-01 10:00:00").cast("timestamp_ntz"))
+    table.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    raw = inputs.raw_events(spark, str(tmp_path))
+    per_task = raw.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in per_task) == 400
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 200
+
+
+def test_entries_are_cut_at_the_first_colon(spark):
+    texts = ["['a:b:c' 'flag' ':x' 'y:' '' \"q:'\"]"]
+    want = [("a", "b:c"), ("flag", None), ("", "x"), ("y", ""), ("", None), ("q", "'")]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(parsing.kv_entries(F.col("t")).alias("e")).first()["e"]
+    assert [tuple(e) for e in got] == want

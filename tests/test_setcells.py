@@ -94,3 +94,16 @@ def test_pairs_are_spread(spark, monkeypatch):
     assert Counter((r["profile_id_1"], r["profile_id_2"]) for r in got.collect()) == Counter(want)
     members = Counter(a for a, _ in set(blocks))
     assert got.rdd.getNumPartitions() == sum(n * (n - 1) // 2 for n in members.values()) // 50 + 1
+
+
+def test_chunk_pairs_are_not_shuffled(spark):
+    """Pairs of chunks come once, also of records that come twice; only members are shuffled."""
+    rng = random.Random(3)
+    rows = [(f"r{rng.randrange(90):02}", rng.choice(["a.ru", "b.ru", None])) for _ in range(130)]
+    table = spark.createDataFrame(rows, "record_id string, email_domain string")
+    chunks = blocking.split_blocks(blocking.domain_keys(table, "record_id"), 200, "record_id").collect()
+    want = {(x["record_id"], y["record_id"]) for x in chunks for y in chunks if x["block_key"] == y["block_key"] and x["record_id"] < y["record_id"]}
+    got = blocking.split_strategy_pairs(table, "email_only", 200, "record_id")
+    assert got.columns == ["profile_id_1", "profile_id_2"]
+    assert Counter((r["profile_id_1"], r["profile_id_2"]) for r in got.collect()) == Counter(want)
+    assert "HashAggregate" not in got._jdf.queryExecution().executedPlan().toString()

@@ -22,13 +22,17 @@ Columns other than id and text aren't read.
 from __future__ import annotations
 
 import functools
+import gc
 import re
 import struct
+import threading
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +46,9 @@ SHARD_BYTES = 16_000_000
 END_ID = 2
 CACHED_WORDS = 350_000
 CACHED_PIECES = 150_000
+# Seconds without a task after which a worker lets its encoder go; Spark keeps idle workers for a minute.
+IDLE_SECONDS = 5
+TEXTS_AT_ONCE = 1_000
 MAGIC = b"S8B1"
 HEADER = struct.Struct("<4sIQQQQ")
 # Ids and bits per selector of Simple-8b; selector 0 is the escape.
@@ -245,6 +252,30 @@ def encoder_of(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _let_go() -> None:
+    """A task that has the encoder at this time keeps it; the next one makes a new one."""
+    encoder_of.cache_clear()
+    # Encoder and caches refer to each other.
+    gc.collect()
+
+
+_leave: threading.Timer | None = None
+
+
+@contextmanager
+def lent_encoder(path: str) -> Iterator[WordEncoder]:
+    """The worker's encoder. Its caches would stand beside the memory of the stages that follow, so it goes when no task asks for it."""
+    global _leave
+    if _leave is not None:
+        _leave.cancel()
+    try:
+        yield encoder_of(path)
+    finally:
+        _leave = threading.Timer(IDLE_SECONDS, _let_go)
+        _leave.daemon = True
+        _leave.start()
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID) -> None:
     """Encode, append ``end_id`` to each document and write shards in id order under ``path``."""
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -254,33 +285,34 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
     ranged = slim.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), tie)
     ordered = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie, "text")
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = encoder_of(tokenizer)
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids, lengths, parts, held, number = [], [], [], 0, 0
         shard = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal doc_ids, lengths, parts, held, number
-            out = pd.DataFrame({"value": [segment(shard, number, doc_ids, lengths, np.concatenate(parts))]})
+            out = pa.array([segment(shard, number, doc_ids, lengths, np.concatenate(parts))], pa.binary())
             doc_ids, lengths, parts, held, number = [], [], [], 0, number + 1
-            return out
-
-        for batch in batches:
-            shard = int(batch["shard"].iloc[0]) if len(batch) else shard
-            known = batch["doc_id"].isna().to_numpy()
-            for d, missing, ids in zip(batch["doc_id"], known, encoder(batch["text"].tolist())):
-                doc_ids.append(None if missing else int(d))
-                lengths.append(len(ids) + 1)
-                parts += [ids, np.array([end_id], np.uint32)]
-                held += len(ids) + 1
-                if held >= SEGMENT_IDS:
-                    yield flush()
+            return pa.RecordBatch.from_arrays([out], names=["value"])
+
+        with lent_encoder(tokenizer) as encoder:
+            for batch in batches:
+                # A batch has up to 10,000 texts; few of them are held as Python strings at a time.
+                for i in range(0, len(batch), TEXTS_AT_ONCE):
+                    some = batch.slice(i, TEXTS_AT_ONCE)
+                    shard = some.column("shard")[0].as_py()
+                    for d, ids in zip(some.column("doc_id").to_pylist(), encoder(some.column("text").to_pylist())):
+                        doc_ids.append(d)
+                        lengths.append(len(ids) + 1)
+                        parts += [ids, np.array([end_id], np.uint32)]
+                        held += len(ids) + 1
+                        if held >= SEGMENT_IDS:
+                            yield flush()
         if doc_ids:
             yield flush()
 
-    # Missing ids would turn a column of integers into floats, so ids travel as text.
-    tagged = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.spark_partition_id().alias("shard"))
-    tagged.mapInPandas(encode, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
+    tagged = ordered.select("doc_id", "text", F.spark_partition_id().alias("shard"))
+    tagged.mapInArrow(encode, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:

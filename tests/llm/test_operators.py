@@ -6,6 +6,8 @@ import base64
 import hashlib
 import random
 import re
+import time
+import weakref
 import zlib
 
 import numpy as np
@@ -263,6 +265,21 @@ def test_token_files(docs, rows, empty):
     assert tokenfiles.token_file_digests(empty, path).count() == 0
 
 
+def test_idle_workers_let_the_token_encoder_go(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(tokenfiles, "IDLE_SECONDS", 0.5)
+    with tokenfiles.lent_encoder(path) as first:
+        list(first(["some words, some words"]))
+    with tokenfiles.lent_encoder(path) as second:
+        # Tasks that follow each other share it, however long one takes.
+        time.sleep(1)
+        assert second is first and tokenfiles.encoder_of(path) is first
+    kept = weakref.ref(first)
+    del first, second
+    time.sleep(2)
+    assert kept() is None
+
+
 def test_suffix_removal(docs, rows, empty):
     texts = [(r[0], (r[1] or "").encode()) for r in rows]
     seen: dict[bytes, int] = {}
